@@ -25,7 +25,7 @@ SELECT split, label, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITI
   round(avg(lines_removed), 6) AS avg_removed FROM splits GROUP BY split, label"""))
 def label_distribution(spark, sf_dir):
     """Flagship: documents to clean commits to splits to the label distribution of each."""
-    df = fx.splits(spark, sf_dir)
+    df = fx.new_splits(spark, sf_dir)
     stats = df.groupBy("split", "label").agg(
         F.count("*").alias("n"), F.round(F.avg("files_changed"), 6).alias("avg_files"),
         F.round(F.avg("lines_added"), 6).alias("avg_added"),
@@ -86,7 +86,7 @@ FROM splits WHERE split = 'val'"""))
 def src5(spark, sf_dir):
     """Write every split, read one back: only its folder is scanned."""
     path = new_path(spark, "splits")
-    corpus.write_splits(fx.splits(spark, sf_dir), path)
+    corpus.write_splits(fx.new_splits(spark, sf_dir), path)
     return corpus.load_split(spark, path, "val")
 
 
@@ -245,7 +245,7 @@ def fil5(spark, sf_dir):
 # --- sampling ---------------------------------------------------------------
 @query("smp1_stratified_split", sql(fx.SPLIT_SQL, "SELECT commit_id, label, split FROM splits"))
 def smp1(spark, sf_dir):
-    return fx.splits(spark, sf_dir).select("commit_id", "label", "split")
+    return fx.new_splits(spark, sf_dir).select("commit_id", "label", "split")
 
 
 def ranked_sql(where: str, size: str) -> str:
@@ -319,7 +319,7 @@ def agg1(spark, sf_dir):
 SELECT split, label, round(count(*) / sum(count(*)) OVER (PARTITION BY split), 4) AS fraction
 FROM splits GROUP BY split, label"""))
 def agg2(spark, sf_dir):
-    return summaries.label_fractions(fx.splits(spark, sf_dir))
+    return summaries.label_fractions(fx.new_splits(spark, sf_dir))
 
 
 @query("agg3_class_weights", sql(fx.CLEAN_SQL, """

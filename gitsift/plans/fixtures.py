@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from gitsift import fixed_values as fv
 from gitsift.operators import cleaning, sampling
+from gitsift.session import new_path
+from gitsift.sources import corpus
 
 STRATEGIES = ["zero_shot", "few_shot", "chain_of_thought", "json_mode"]
 ANSWER_MODELS = ["qwen2.5-coder:3b", "phi3.5:3.8b"]
@@ -177,10 +179,23 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_commits(commits(spark, sf_dir), id_column="commit_id")
 
 
-def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def new_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.stratified_split(clean(spark, sf_dir))
 
 
+_SPLIT_TABLES: dict[tuple[str, str], str] = {}
+
+
+def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split table, written once per session: later stages read their split of it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SPLIT_TABLES:
+        path = new_path(spark, "split-table")
+        corpus.write_splits(new_splits(spark, sf_dir), path)
+        _SPLIT_TABLES[key] = path
+    return spark.read.parquet(_SPLIT_TABLES[key])
+
+
 # --- commits whose diff is a list of files ----------------------------------
 def multi_file_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per text line; every third file has no body, every fourth one path only."""

@@ -22,5 +22,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def with_tables(tables: str, select: str) -> str:
+def with_tables(tables: str, select: str = "") -> str:
     return f"WITH RECURSIVE {tables} {select}"
