@@ -359,7 +359,7 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.element_at(
         F.create_map(*[F.lit(x) for kv in EVENT_LABELS.items() for x in kv]), F.col("event_type")
     )
-    confidence = F.round(F.least(F.lit(1.0), F.col("value") / 400), 4)
+    confidence = F.round(F.least(F.lit(1.0), F.col("value") / 400), 6)
     words = F.concat(F.col("event_type"), F.lit(" "), F.col("props"), F.lit(" "))
     return e.select(
         "event_id", "ts", pick(fv.AVAILABLE_MODELS, F.col("user_id") % 7).alias("model"),
@@ -384,7 +384,7 @@ scored_events AS (
     CASE WHEN user_id % 3 = 0 THEN event_id END AS batch_run_id,
     repeat(event_type || ' ' || props || ' ', 20) AS message,
     repeat('+' || event_type || ' ' || props || ' ', 15) AS diff,
-    {EVENT_LABEL_SQL} AS label, round(least(1.0::DOUBLE, value / 400), 4) AS confidence,
+    {EVENT_LABEL_SQL} AS label, round(least(1.0::DOUBLE, value / 400), 6) AS confidence,
     {pick_sql(SOURCES, "user_id % 4")} AS source FROM events)"""
 
 
