@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
-from gitsift.functions.text import let
+from gitsift.functions.text import let, strip
 
 
 def words(text: Column) -> Column:
@@ -25,30 +25,23 @@ def word_terms(text: Column) -> Column:
     return let(words(text), with_pairs)
 
 
-def chunks(text: Column) -> Column:
-    """Lower-cased pieces between white space."""
-    return F.filter(F.split(F.lower(text), f"{fv.SPACE_CLASS}+"), lambda w: w != "")
-
-
-def char_terms_of_chunk(chunk: Column) -> Column:
-    """Character 3- to 5-grams of one chunk padded by a space on either side."""
+def char_terms(text: Column) -> Column:
+    """Character 3- to 5-grams inside space-padded chunks, by size and then by place.
+
+    With two spaces between chunks, a piece lies inside one padded chunk exactly
+    when no space is among its inner characters. A look-ahead finds the pieces
+    at every place in one pass per size; one character is consumed each time, so
+    characters outside the basic plane count as one.
+    """
+    spaced = F.regexp_replace(strip(F.lower(text)), f"{fv.SPACE_CLASS}+", "  ")
     low, high = fv.CHAR_NGRAMS
 
-    def grams(padded: Column) -> Column:
-        size = F.length(padded)
-
-        def of_size(n: int) -> Column:
-            cut = F.transform(F.sequence(F.lit(1), size - (n - 1)),
-                              lambda i: F.substring(padded, i, F.lit(n)))
-            return F.when(size >= n, cut).otherwise(F.array().cast("array<string>"))
+    def pieces(padded: Column) -> Column:
+        return F.concat(*[
+            F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.[^ ]{{{n - 2}}}.))."), F.lit(1))
+            for n in range(low, high + 1)])
 
-        return F.concat(*[of_size(n) for n in range(low, high + 1)])
-
-    return let(F.concat(F.lit(" "), chunk, F.lit(" ")), grams)
-
-
-def char_terms(text: Column) -> Column:
-    return F.flatten(F.transform(chunks(text), char_terms_of_chunk))
+    return let(F.concat(F.lit(" "), spaced, F.lit(" ")), pieces)
 
 
 def plain_tokens(text: Column) -> Column:

@@ -24,7 +24,7 @@ from gitsift.functions.probabilities import argmax, class_array
 from gitsift.operators import tfidf
 from gitsift.operators.cleaning import class_index
 from gitsift.operators.summaries import attach_class_weights
-from gitsift.session import materialise, new_path
+from gitsift.session import materialise, new_path, spread
 
 K = len(fv.TARGET_CLASSES)
 BLOCKS = (tfidf.MESSAGE, tfidf.DIFF)
@@ -76,10 +76,13 @@ def feature_columns(
 
 
 def write_features(features: DataFrame) -> DataFrame:
-    """Stores features as a table and reads the column back as an ML vector."""
+    """Stores features as an evenly cut table and reads the column back as an ML vector.
+
+    Training passes over this table many times, so no part of it should be larger.
+    """
     spark = features.sparkSession
     path = new_path(spark, "features")
-    features.write.parquet(path)
+    spread(features, "commit_id").write.parquet(path)
     fields = [f if f.name != "features" else T.StructField("features", VectorUDT())
               for f in features.schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)
@@ -96,7 +99,7 @@ class TextClassifier:
     @classmethod
     def fit(
         cls, train: DataFrame, max_terms: int = fv.MAX_TERMS,
-        max_iterations: int = fv.MAX_ITERATIONS, tolerance: float = 1e-5,
+        max_iterations: int = fv.MAX_ITERATIONS, tolerance: float = 1e-3,
         inverse_regularisation: float = fv.INVERSE_REGULARISATION,
     ) -> TextClassifier:
         """Vocabulary, scaling and coefficients from training rows only."""
@@ -133,8 +136,9 @@ class TextClassifier:
     def probabilities(self, df: DataFrame) -> DataFrame:
         """``(commit_id, probs)`` for rows with clean texts and numerics."""
         p = self.parameters
-        weighted = tfidf.raw_weights(df, BLOCKS, self.terms, p.max_terms)
-        per_block = weighted.groupBy("commit_id", "block").agg(
+        weighted = tfidf.raw_weights(df, BLOCKS, self.terms, p.max_terms).join(
+            tfidf.small(self.terms.select("idx", "coef"), 2 * p.max_terms), "idx")
+        per_block = weighted.groupBy("commit_id", "block_no").agg(
             F.sum(F.col("w") * F.col("w")).alias("n2"),
             *[F.sum(F.col("w") * F.col("coef")[k]).alias(f"s{k}") for k in range(K)])
         per_commit = per_block.groupBy("commit_id").agg(

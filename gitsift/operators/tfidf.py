@@ -1,9 +1,9 @@
 """Tf-idf as relational work: term counts, vocabulary, weights, sparse vectors.
 
-A text block is a column with an analyzer (``word`` or ``char``). Documents are
-shuffled once, by id and as text, before they are taken apart; every later
-aggregate is per document or per (document, term) and stays in that partition.
-Shuffling the terms instead would move about fifteen times as much.
+A text block is a column with an analyzer (``word`` or ``char``). Fitting moves
+only counts per term. Weighting shuffles documents once, by id and as text, before
+they are taken apart; every later aggregate is per document and stays in that
+partition. Shuffling the terms instead would move about fifteen times as much.
 
 The vocabulary is capped (30,000 terms a block), so joining it by broadcast is
 bounded by that cap and not by the corpus.
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
 from gitsift.functions import ngrams
+from gitsift.session import spread
 
 BROADCAST_TERMS = 200_000
 
@@ -34,54 +35,39 @@ MESSAGE = Block("message", "message_clean", "word")
 DIFF = Block("diff", "diff_text", "char")
 
 
-def term_counts(df: DataFrame, blocks: Sequence[Block], id_column: str = "commit_id") -> DataFrame:
-    """``(id, block, term, tf)``. Equal chunks of a text are cut into n-grams once."""
-    by_id = df.select(id_column, *[F.coalesce(b.column, F.lit("")).alias(b.name) for b in blocks])
-    pieces = []
-    for b in blocks:
-        parts = ngrams.word_terms(F.col(b.name)) if b.analyzer == "word" else ngrams.chunks(F.col(b.name))
-        pieces.append(_tag(parts, b.name))
-    char_blocks = [b.name for b in blocks if b.analyzer == "char"]
-    counted = (
-        by_id.repartition(id_column)
-        .select(id_column, F.explode(F.concat(*pieces)).alias("p"))
-        .groupBy(id_column, F.col("p.block").alias("block"), F.col("p.piece").alias("piece"))
-        .agg(F.count("*").alias("c"))
-    )
-    if not char_blocks:
-        return counted.select(id_column, "block", F.col("piece").alias("term"), F.col("c").alias("tf"))
-    terms = F.when(F.col("block").isin(char_blocks), ngrams.char_terms_of_chunk(F.col("piece"))) \
-        .otherwise(F.array("piece"))
-    return (
-        counted.select(id_column, "block", F.explode(terms).alias("term"), "c")
-        .groupBy(id_column, "block", "term")
-        .agg(F.sum("c").alias("tf"))
-    )
+ANALYZERS = {"word": ngrams.word_terms, "char": ngrams.char_terms}
+
 
+def block_terms(block: Block) -> Column:
+    return ANALYZERS[block.analyzer](F.coalesce(block.column, F.lit("")))
 
-def _tag(parts: Column, name: str) -> Column:
-    return F.transform(parts, lambda p: F.struct(F.lit(name).alias("block"), p.alias("piece")))
 
+def term_statistics(df: DataFrame, block: Block) -> DataFrame:
+    """``(term, n, df)``: corpus count and document frequency.
 
-def term_statistics(counts: DataFrame) -> DataFrame:
-    """Corpus count and document frequency per term, combined before the shuffle."""
-    return counts.groupBy("block", "term").agg(
-        F.sum("tf").alias("n"), F.count("*").alias("df"))
+    Each document emits its terms and, behind them, its distinct terms, so both
+    counts come from one aggregate that is combined before the shuffle. Neither
+    texts nor (document, term) pairs are moved.
+    """
+    every = df.select(block_terms(block).alias("t"))
+    placed = every.select(
+        F.size("t").alias("k"), F.posexplode(F.concat("t", F.array_distinct("t"))).alias("i", "term"))
+    repeated = (F.col("i") < F.col("k")).cast("long")
+    return placed.groupBy("term").agg(F.sum(repeated).alias("n"), F.sum(1 - repeated).alias("df"))
 
 
 def vocabulary(
-    df: DataFrame, block: Block, max_terms: int = fv.MAX_TERMS, min_df: int = fv.MIN_DOC_FREQ,
-    id_column: str = "commit_id",
+    df: DataFrame, block: Block, max_terms: int = fv.MAX_TERMS, min_df: int = fv.MIN_DOC_FREQ
 ) -> DataFrame:
     """Terms of a block by corpus count (term order on a tie) with index and smoothed idf.
 
     The cap is a distributed top-n; only its result is numbered in one task.
     """
-    stats = term_statistics(term_counts(df, [block], id_column)).filter(F.col("df") >= min_df)
+    stats = term_statistics(df, block).filter(F.col("df") >= min_df)
     top = stats.orderBy(F.desc("n"), "term").limit(max_terms)
     size = df.agg(F.count("*").alias("n_docs"))
     index = F.row_number().over(Window.partitionBy("block").orderBy("term")) - 1
-    return top.join(F.broadcast(size)).select(
+    return top.withColumn("block", F.lit(block.name)).join(F.broadcast(size)).select(
         "block", "term", index.alias("idx"), "n", "df",
         (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))
 
@@ -105,20 +91,35 @@ def raw_weights(
     df: DataFrame, blocks: Sequence[Block], terms: DataFrame, max_terms: int = fv.MAX_TERMS,
     id_column: str = "commit_id",
 ) -> DataFrame:
-    """``(id, block, ..., w)`` with w = (1 + ln tf) * idf, not yet normalised."""
-    counts = term_counts(df, blocks, id_column)
-    joined = counts.join(small(terms, max_terms), ["block", "term"])
-    return joined.withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    """``(id, block_no, idx, w)`` with w = (1 + ln tf) * idf, not yet normalised.
+
+    Terms become numbers before they are counted, so the aggregate's keys are
+    numbers, and words outside the vocabulary are gone by then.
+    """
+    number = F.array_position(F.array(*[F.lit(b.name) for b in blocks]), F.col("block"))
+    known = terms.select((number - 1).cast("int").alias("block_no"), "term", "idx", "idf")
+    by_id = spread(df.select(id_column, *{b.column for b in blocks}), id_column)
+    parts = F.array(*[
+        F.struct(F.lit(i).alias("block_no"), block_terms(b).alias("terms"))
+        for i, b in enumerate(blocks)])
+    return (
+        by_id.select(id_column, F.explode(parts).alias("p"))
+        .select(id_column, "p.block_no", F.explode("p.terms").alias("term"))
+        .join(small(known, max_terms), ["block_no", "term"])
+        .groupBy(id_column, "block_no", "idx", "idf")
+        .agg(F.count("*").alias("tf"))
+        .select(id_column, "block_no", "idx", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
+    )
 
 
 def tfidf(
     df: DataFrame, blocks: Sequence[Block], terms: DataFrame, max_terms: int = fv.MAX_TERMS,
     id_column: str = "commit_id",
 ) -> DataFrame:
-    """Long table ``(id, block, term, idx, weight)``, unit length per document and block."""
+    """Long table ``(id, block_no, idx, weight)``, unit length per document and block."""
     w = raw_weights(df, blocks, terms, max_terms, id_column)
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_column, "block")))
-    return w.select(id_column, "block", "term", "idx", (F.col("w") / norm).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_column, "block_no")))
+    return w.select(id_column, "block_no", "idx", (F.col("w") / norm).alias("weight"))
 
 
 def vectors(
@@ -161,7 +162,8 @@ def token_sequences(
     ids = top.select("token", (F.row_number().over(
         Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token")) + 1).alias("token_id"))
     shown = F.slice(ngrams.plain_tokens(F.col(column)), 1, length)
-    pieces = df.repartition(id_column).select(id_column, F.posexplode_outer(shown).alias("pos", "token"))
+    pieces = spread(df.select(id_column, column), id_column).select(
+        id_column, F.posexplode_outer(shown).alias("pos", "token"))
     known = pieces.join(small(ids, vocabulary_size), "token", "left")
     value = F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(1)))
     packed = known.groupBy(id_column).agg(F.sort_array(F.collect_list(

@@ -8,6 +8,7 @@ number of commits.
 from __future__ import annotations
 
 import itertools
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -93,10 +94,10 @@ def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int
     per (candidate, gold, predicted) are shuffled: 25 cells per candidate.
     """
     grid_rows = candidate_weights(len(members), steps)
-    candidates = F.array(*[
-        F.struct(F.lit(i).alias("candidate"), *[F.lit(w).alias(f"w{k}") for k, w in enumerate(row)])
-        for i, row in enumerate(grid_rows)
-    ])
+    fields = [f"w{k}" for k in range(len(members))]
+    rows = [dict(zip(["candidate", *fields], (i, *row))) for i, row in enumerate(grid_rows)]
+    shape = "array<struct<candidate: int, " + ", ".join(f"{w}: double" for w in fields) + ">>"
+    candidates = F.from_json(F.lit(json.dumps(rows)), shape)
     wide = stack(probabilities).select(
         "gold", *[
             F.col("stack")[k]["probs"][c].alias(f"p{k}_{c}")

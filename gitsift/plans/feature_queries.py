@@ -22,8 +22,20 @@ def chunks_sql(text: str) -> str:
 
 
 def chunk_grams_sql(padded: str) -> str:
-    parts = [f"list_transform(range(1, CAST(length({padded}) - {n} + 2 AS BIGINT)), "
-             f"lambda i: substring({padded}, i, {n}))" for n in (3, 4, 5)]
+    parts = [one_size_sql(padded, n) for n in (3, 4, 5)]
+    return f"list_concat(list_concat({parts[0]}, {parts[1]}), {parts[2]})"
+
+
+def one_size_sql(padded: str, n: int) -> str:
+    return (f"list_transform(range(1, CAST(length({padded}) - {n} + 2 AS BIGINT)), "
+            f"lambda i: substring({padded}, i, {n}))")
+
+
+def char_terms_sql(text: str) -> str:
+    """By size first, then by chunk and place."""
+    pad = "(' ' || w || ' ')"
+    parts = [f"flatten(list_transform({chunks_sql(text)}, lambda w: {one_size_sql(pad, n)}))"
+             for n in (3, 4, 5)]
     return f"list_concat(list_concat({parts[0]}, {parts[1]}), {parts[2]})"
 
 
@@ -81,8 +93,7 @@ def str14(spark, sf_dir):
 
 
 @query("str15_char_terms", sql(fx.CLEAN_SQL, f""",
-g AS (SELECT commit_id, flatten(list_transform({chunks_sql("diff_text")},
-  lambda w: {chunk_grams_sql("(' ' || w || ' ')")})) AS t FROM clean)
+g AS (SELECT commit_id, {char_terms_sql("diff_text")} AS t FROM clean)
 SELECT commit_id, len(t) AS n_terms, md5(array_to_string(t, '|')) AS terms_md5 FROM g"""))
 def str15(spark, sf_dir):
     df = fx.clean(spark, sf_dir).select("commit_id", ngrams.char_terms(F.col("diff_text")).alias("t"))
@@ -157,7 +168,8 @@ SELECT commit_id, term, round(weight, 6) AS weight FROM mw"""))
 def mlf1(spark, sf_dir):
     terms = fitted_terms(spark, sf_dir).filter(F.col("block") == "message")
     df = tfidf.tfidf(fx.splits(spark, sf_dir), [tfidf.MESSAGE], terms)
-    return rounded(df.select("commit_id", "term", "weight"), ["weight"])
+    named = df.join(tfidf.small(terms.select("idx", "term"), fv.MAX_TERMS), "idx")
+    return rounded(named.select("commit_id", "term", "weight"), ["weight"])
 
 
 SUMMED = ("count(*) AS n_terms, round(sum(weight), 6) AS total, "

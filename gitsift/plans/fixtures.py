@@ -26,8 +26,17 @@ EVENT_LABELS = {
 }
 
 
+KEYS = {"documents": "doc_id", "events": "event_id", "orders": "o_orderkey",
+        "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. One that is a single small file is spread over the cores by its key."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in KEYS and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, KEYS[name])
+    return df
 
 
 def pick(values: list[str], index: Column) -> Column:

@@ -28,6 +28,15 @@ def build_session(app_name: str = "gitsift", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash partitions by ``key``, as many as ``spark.sql.shuffle.partitions`` says.
+
+    The number is given so that it is not lowered for small texts: what follows
+    costs far more work per byte than the shuffle's size suggests.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def work_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
