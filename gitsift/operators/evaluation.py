@@ -13,6 +13,7 @@ from gitsift.functions.text import first_line
 from gitsift.operators.cleaning import or_fallback
 from gitsift.operators.metrics import evaluation_report
 from gitsift.operators.text_metrics import corpus_bleu, rouge_l
+from gitsift.session import measured
 
 RUN = ["model", "strategy"]
 
@@ -33,7 +34,8 @@ def exact_percentiles(
     high = F.percentile_approx("v", [min(1.0, p + slack) for p in points], sketch)
     bounds = base.groupBy(*keys).agg(F.count("*").alias("n"), low.alias("low"), high.alias("high"))
     spans = bounds.select(*keys, "n", F.posexplode(F.arrays_zip("low", "high")).alias("i", "b"))
-    joined = base.join(spans, list(keys)) if keys else base.join(F.broadcast(spans))
+    brackets = measured(spans, "brackets")
+    joined = base.join(brackets, list(keys)) if keys else base.join(F.broadcast(brackets))
     zone = F.when(F.col("v") < F.col("b.low"), 0).when(F.col("v") <= F.col("b.high"), 1).otherwise(2)
     grouped = (
         joined.select(*keys, "n", "i", "v", zone.alias("zone"))

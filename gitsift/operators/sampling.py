@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
+from gitsift.session import measured
 
 BUCKET_HEX_DIGITS = 4  # 65,536 buckets per class
 
@@ -53,14 +54,15 @@ def rank_thresholds(
     )
     up_to = Window.partitionBy("grp").orderBy("bucket")  # at most 65,536 rows per group
     spans = counts.withColumn("upto", F.sum("cnt").over(up_to))
-    hit = (
+    hit = measured(
         wanted.filter((F.col("rank") > 0) & (F.col("rank") < F.col("n")))
         .join(spans, "grp")
         .filter((F.col("rank") > F.col("upto") - F.col("cnt")) & (F.col("rank") <= F.col("upto")))
         .select(
             "grp", "cut_no", "bucket",
             (F.col("rank") - F.col("upto") + F.col("cnt")).alias("rank_in_bucket"),
-        )
+        ),
+        "cut-buckets",
     )
     in_bucket = Window.partitionBy("grp", "cut_no").orderBy("key")
     found = (
@@ -89,10 +91,9 @@ def place(
 ) -> DataFrame:
     """Adds ``segment``: how many cuts lie below the row's rank in its group.
 
-    The thresholds hold one row per class. Classes are few in every use here,
-    but Spark decides the join from the measured size; nothing is forced.
+    The thresholds hold one row per class and are joined by their measured size.
     """
-    thresholds = rank_thresholds(df, group, id_column, seed, cuts)
+    thresholds = measured(rank_thresholds(df, group, id_column, seed, cuts), "thresholds")
     key = hash_key(id_column, seed)
     passed = F.size(F.filter("thresholds", lambda t: t.isNotNull() & (F.col("_key") > t)))
     return (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
 from gitsift.operators.cleaning import class_index
+from gitsift.session import measured
 
 
 def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
@@ -31,7 +32,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def attach_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    weights = class_weights(df, label).select(label, "weight")
+    weights = measured(class_weights(df, label).select(label, "weight"), "class-weights")
     return df.join(weights, label)
 
 

@@ -18,6 +18,7 @@ from gitsift import fixed_values as fv
 from gitsift.functions.probabilities import argmax, class_array, grid, one_hot
 from gitsift.operators.cleaning import or_fallback
 from gitsift.operators.metrics import evaluation_report, metrics_from_counts
+from gitsift.session import measured
 
 
 def alignment(predictions: DataFrame, n_members: int) -> DataFrame:
@@ -232,7 +233,7 @@ def vote_report(
     if mode == "hard":
         voted = hard_vote(predictions)
     elif mode == "weighted":
-        weights = member_weights(member_scores(predictions), metric, boosts)
+        weights = measured(member_weights(member_scores(predictions), metric, boosts), "weights")
         voted = weighted_vote(predictions, weights)
     else:
         raise ValueError(f"mode must be hard or weighted, not {mode!r}")

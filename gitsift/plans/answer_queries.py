@@ -11,7 +11,7 @@ from gitsift.plans import fixtures as fx
 from gitsift.plans.registry import query
 from gitsift.plans.registry import with_tables as sql
 from gitsift.plans.voting_queries import report_sql, rounded
-from gitsift.session import new_path
+from gitsift.session import materialise, new_path
 from gitsift.sources import corpus, reports, runs
 
 RUN = ["model", "strategy"]
@@ -319,7 +319,7 @@ SELECT model, strategy, n_samples AS n, round(accuracy, 6) AS accuracy, round(ma
   round(p95, 6) AS latency_ms_p95, round(tokens, 6) AS completion_tokens_mean
 FROM rep JOIN extra USING (model, strategy)"""))
 def evl3(spark, sf_dir):
-    rows = evaluation.classification_rows(fx.responses(spark, sf_dir))
+    rows = materialise(evaluation.classification_rows(fx.responses(spark, sf_dir)), "rows")
     df = evaluation.classification_summary(rows).drop("latency_ms_mean")
     return rounded(df, [c for c in df.columns if c not in ("model", "strategy", "n")])
 
@@ -342,7 +342,7 @@ def src18(spark, sf_dir):
     """Documents per run and their rows, written as JSON and read back."""
     from gitsift.operators.metrics import evaluation_report
 
-    rows = evaluation.classification_rows(fx.responses(spark, sf_dir))
+    rows = materialise(evaluation.classification_rows(fx.responses(spark, sf_dir)), "rows")
     path = new_path(spark, "run-documents")
     summary = evaluation.classification_summary(rows)
     reports.write_run_documents(summary, evaluation_report(rows, RUN), rows.select(

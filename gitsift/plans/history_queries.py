@@ -10,7 +10,7 @@ from gitsift.plans.model_queries import OUTSIDE_SQL, outside_scorers
 from gitsift.plans.registry import query
 from gitsift.plans.registry import with_tables as sql
 from gitsift.plans.voting_queries import ARGMAX, NAMES
-from gitsift.session import new_path
+from gitsift.session import measured, new_path
 from gitsift.sources import history
 from gitsift.streaming import scoring as streaming
 
@@ -23,7 +23,9 @@ predictions AS (SELECT event_id AS id, ts, model_id, model, batch_run_id,
 
 
 def models_of(spark, sf_dir):
-    return history.add_missing_models(history.empty_models(spark), fx.scored_events(spark, sf_dir))
+    """The models table, stored: its size on disk decides how it is joined."""
+    used = fx.scored_events(spark, sf_dir)
+    return measured(history.add_missing_models(history.empty_models(spark), used), "models")
 
 
 def predictions_of(spark, sf_dir):
@@ -139,8 +141,8 @@ def stm1(spark, sf_dir):
     commits = fx.commits(spark, sf_dir).select("commit_id", "ts", "message", "diff")
     arrivals, log = new_path(spark, "arrivals"), new_path(spark, "stream-log")
     commits.repartition(4).write.parquet(arrivals)
-    models = history.add_missing_models(
-        history.empty_models(spark), commits.select(F.lit("cnn_text").alias("model"), "ts"))
+    models = measured(history.add_missing_models(
+        history.empty_models(spark), commits.select(F.lit("cnn_text").alias("model"), "ts")), "models")
     stream = spark.readStream.schema(commits.schema).option("maxFilesPerTrigger", 2).parquet(arrivals)
     for attempt in range(2):
         checkpoint = new_path(spark, f"stream-checkpoint-{attempt}")

@@ -22,7 +22,7 @@ from gitsift.plans import fixtures as fx
 from gitsift.plans.registry import query
 from gitsift.plans.registry import with_tables as sql
 from gitsift.plans.voting_queries import ARGMAX, AVERAGES, NAMES, rounded
-from gitsift.session import new_path
+from gitsift.session import materialise, new_path
 from gitsift.sources import batch_csv, corpus, repository
 
 _MODELS: dict[tuple[str, str], classifier.TextClassifier] = {}
@@ -278,7 +278,7 @@ def evl1(spark, sf_dir):
 def evl2(spark, sf_dir):
     """All metrics of every run: matches, agreement, BLEU, ROUGE-L, latencies, tokens."""
     rows = evaluation.generation_rows(fx.responses(spark, sf_dir))
-    agreed = hybrid.agreement(hybrid.verified(rows, fitted(spark, sf_dir)))
+    agreed = materialise(hybrid.agreement(hybrid.verified(rows, fitted(spark, sf_dir))), "rows")
     df = evaluation.generation_summary(agreed)
     return rounded(df, [c for c in df.columns if c not in ("model", "strategy", "n")])
 

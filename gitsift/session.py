@@ -64,6 +64,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def measured(df: DataFrame, name: str) -> DataFrame:
+    """A table expected to be small, written so that Spark knows its real size.
+
+    Planned from an aggregate over the corpus it would look as large as the
+    corpus, and joining it would shuffle the other side by a few hot keys. From
+    its file size Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``
+    and shuffles otherwise.
+    """
+    return materialise(df.coalesce(1), name)
+
+
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back: later use does not recompute it.
 

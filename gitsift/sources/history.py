@@ -72,10 +72,18 @@ def append_predictions(rows: DataFrame, path: str) -> None:
 
 
 def append_new_predictions(rows: DataFrame, path: str) -> None:
-    """Appends only ids the log does not hold, so a repeated batch adds nothing."""
+    """Appends only ids the log does not hold, so a repeated batch adds nothing.
+
+    A row logged twice carries the same time, so only the part of the log inside
+    the batch's time span is read; column statistics of the files skip the rest.
+    """
     spark = rows.sparkSession
+    span = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    if span["low"] is None:
+        return
     try:
-        held = spark.read.schema(rows.schema).parquet(path).select("id")
+        log = spark.read.schema(rows.schema).parquet(path)
+        held = log.filter(F.col("ts").between(span["low"], span["high"])).select("id")
     except Exception as exc:  # the log does not exist yet
         if "PATH_NOT_FOUND" not in str(exc):
             raise
