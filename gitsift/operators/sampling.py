@@ -44,7 +44,8 @@ def rank_thresholds(
     keyed = df.select(F.col(group).alias("grp"), hash_key(id_column, seed).alias("key")).withColumn(
         "bucket", F.conv(F.substring("key", 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
     )
-    counts = keyed.groupBy("grp", "bucket").agg(F.count("*").alias("cnt"))
+    # At most 65,536 rows per class, used twice below: written so that df is read once for it.
+    counts = measured(keyed.groupBy("grp", "bucket").agg(F.count("*").alias("cnt")), "bucket-counts")
     sizes = counts.groupBy("grp").agg(F.sum("cnt").alias("n"))
     smallest = F.min("n").over(Window.partitionBy(F.lit(0)))  # one row per group
     wanted = sizes.withColumn("smallest", smallest)

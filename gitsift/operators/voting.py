@@ -127,13 +127,17 @@ def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int
 
 
 def best_weights(search: DataFrame, members: Sequence[str]) -> DataFrame:
-    """``(member, weight)`` of the best candidate; on a tie the one nearest to equal."""
+    """``(member, weight)`` of the best candidate; on a tie the one nearest to equal.
+
+    Written, so that joining it by member is planned from its real size.
+    """
     chosen = search.agg(
         F.max_by("weights", F.struct(grid(F.col("macro_f1")), -F.col("candidate"))).alias("w"),
     )
     names = F.array(*map(F.lit, members))
-    return chosen.select(F.posexplode(F.arrays_zip(names.alias("member"), F.col("w").alias("weight")))
-                         .alias("position", "x")).select("position", "x.*")
+    pairs = F.arrays_zip(names.alias("member"), F.col("w").alias("weight"))
+    rows = chosen.select(F.posexplode(pairs).alias("position", "x")).select("position", "x.*")
+    return measured(rows, "best-weights")
 
 
 def order_changed(stored: DataFrame, members: Sequence[str]) -> DataFrame:

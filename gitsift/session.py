@@ -32,9 +32,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash partitions by ``key``, as many as ``spark.sql.shuffle.partitions`` says.
 
     The number is given so that it is not lowered for small texts: what follows
-    costs far more work per byte than the shuffle's size suggests.
+    costs far more work per byte than the shuffle's size suggests. A local master
+    gains nothing from more than a few tasks per core.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        parts = min(parts, 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, key)
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -72,7 +77,7 @@ def measured(df: DataFrame, name: str) -> DataFrame:
     its file size Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``
     and shuffles otherwise.
     """
-    return materialise(df.coalesce(1), name)
+    return materialise(df, name)
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

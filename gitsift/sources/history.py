@@ -6,6 +6,7 @@ appends nothing new. Model ids follow the order in which names are first seen.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def append_new_predictions(rows: DataFrame, path: str) -> None:
     try:
         log = spark.read.schema(rows.schema).parquet(path)
         held = log.filter(F.col("ts").between(span["low"], span["high"])).select("id")
-    except Exception as exc:  # the log does not exist yet
+    except AnalysisException as exc:  # the log does not exist yet
         if "PATH_NOT_FOUND" not in str(exc):
             raise
         held = rows.select("id").limit(0)
