@@ -389,3 +389,19 @@ SELECT (SELECT count(*) FROM clean) AS n_whole, (SELECT count(*) FROM splits) AS
 def set4(spark, sf_dir):
     return summaries.conservation(
         fx.clean(spark, sf_dir), fx.splits(spark, sf_dir), ["commit_id", "label", "diff_text"])
+
+
+@query("win3_lowest_ranks_per_class", sql(fx.CLEAN_SQL, ranked_sql("true", "ceil(n / 3)")))
+def win3(spark, sf_dir):
+    """The lowest third of the hash ranks of every class."""
+    df = fx.clean(spark, sf_dir).select("commit_id", "label")
+    return sampling.take_per_class(df, lambda n, _: F.ceil(n / 3))
+
+
+@query("win6_fraction_of_total", sql(fx.COMMITS_SQL, """
+SELECT project, ty AS label, round(count(*) / sum(count(*)) OVER (PARTITION BY project), 4) AS fraction
+FROM commits GROUP BY project, ty"""))
+def win6(spark, sf_dir):
+    """Share of each commit type inside its project."""
+    df = fx.commits(spark, sf_dir).select("project", F.col("ty").alias("label"))
+    return summaries.label_fractions(df, "project")
