@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gitsift.llm import bpe
+from gitsift.llm import bpe, quality
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +26,11 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, symbol, line and repetition statistics of every document, and the verdict."""
+    return quality.score(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "longest_repeat", "covered_words")
