@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gitsift.llm import bpe, quality
+from gitsift.llm import bpe, lines, quality
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -34,3 +35,33 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "longest_repeat", "covered_words")
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier document has."""
+    return lines.drop_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# RE2 takes the same class of white space; ASCII letters alone are lowered by translate.
+CHECK_SQL["op7_line_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+numbered AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS position FROM docs),
+keyed AS (
+  SELECT doc_id, line, position, translate(
+    regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM numbered),
+shared AS (
+  SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT k.doc_id, k.line, k.position, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY position) FILTER (WHERE NOT gone), ''))
+    AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
