@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitsift.llm import bpe, lines, quality
+from gitsift.llm import bpe, lines, quality, simhash
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "longest_repeat", "covered_words")
 
 
+@query
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest doc_id it is linked to."""
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document has."""
