@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitsift.llm import bpe, lines, quality, simhash
+from gitsift.llm import bpe, lines, quality, simhash, suffix_dedup
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -43,6 +43,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that occur elsewhere too."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 200, keep="none")
+    return found.select("doc_id", "n_bytes", "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document has."""
