@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitsift.llm import bpe, lines, quality, simhash, suffix_dedup
+from gitsift.llm import automaton_dedup, bpe, lines, quality, simhash, suffix_dedup
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,37 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 35-word windows that occur elsewhere too."""
+    found = automaton_dedup.remove_substrings(table(spark, sf_dir, "documents"), 35, keep="none")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+CHECK_SQL["op8_substring_dedup"] = """
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, hash(array_to_string(words[i:i + 34], ' ')) AS a,
+    hash(array_to_string(words[i:i + 34], '|')) AS b
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM docs)),
+counted AS (SELECT doc_id, i, count(*) OVER (PARTITION BY a, b) AS n FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS position FROM counted WHERE n > 1),
+words AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS position FROM docs),
+kept AS (
+  SELECT w.doc_id, count(*) AS n_words, count(g.position) AS n_removed,
+    string_agg(w.word, ' ' ORDER BY w.position) FILTER (WHERE g.position IS NULL) AS text
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.position = g.position
+  GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol, line and repetition statistics of every document, and the verdict."""

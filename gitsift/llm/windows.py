@@ -36,9 +36,6 @@ from gitsift.session import materialise, measured
 
 #: Different regions of one key that a task compares by itself.
 MAX_REGIONS = 4096
-#: Bytes of regions that are compared together.
-GROUP_BYTES = 1 << 20
-
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Enough for a place in the longest string that Spark holds.
 _PLACE_BITS = 31
@@ -52,6 +49,7 @@ class Windows:
     gram: int  # a power of two
     symbols: Callable[[bytes], np.ndarray]  # one number per symbol, equal for equal ones
     dtype: str  # of the symbols in a region's bytes
+    group_bytes: int = 1 << 20  # of regions that are compared together
 
     @property
     def grams(self) -> int:
@@ -190,7 +188,7 @@ def _compared(regions: DataFrame, kind: Windows, compare: Compare) -> DataFrame:
         size = 0
         for batch in batches:
             for row in batch.to_pylist():
-                if size > GROUP_BYTES and row["key"] != held[-1]["key"]:
+                if size > kind.group_bytes and row["key"] != held[-1]["key"]:
                     yield result(held)
                     held, size = [], 0
                 held.append(row)
