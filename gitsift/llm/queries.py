@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitsift.llm import automaton_dedup, bpe, lines, quality, simhash, suffix_dedup
+from gitsift.llm import automaton_dedup, bpe, lines, quality, sharding, simhash, suffix_dedup
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,13 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
     AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op10_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of eight shards by source, moved so that eight shards hold equal bytes."""
+    by_source = F.pmod(F.xxhash64("source"), F.lit(8))
+    found = sharding.reshard(table(spark, sf_dir, "documents"), by_source, 8, 8)
+    return found.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard",
+                        F.col("slot").cast("long").alias("slot"),
+                        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
