@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitsift.llm import automaton_dedup, bpe, lines, quality, sharding, simhash, suffix_dedup
+from gitsift.llm import (
+    automaton_dedup,
+    bpe,
+    lines,
+    page_text,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+)
 from gitsift.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -82,6 +91,12 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document has."""
