@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gitsift.llm import (
     automaton_dedup,
     bpe,
+    decontam,
     lines,
     page_text,
     quality,
@@ -83,6 +84,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold, exactly or within a few edits."""
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 200 bytes that occur elsewhere too."""
