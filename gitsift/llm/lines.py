@@ -54,25 +54,43 @@ def shared_keys(keys: DataFrame, min_documents: int) -> DataFrame:
     return found.filter(F.col("n") >= min_documents).select("key", "keeper")
 
 
-def drop_lines(df: DataFrame, min_key_chars: int = MIN_KEY_CHARS,
-               min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """doc_id, text, n_lines, n_dropped, kept of every row; ``kept`` is the reassembled text."""
-    docs = df.select("doc_id", "text", text_key(F.col("text")).alias("row"))
+def _with_kept(df: DataFrame, min_key_chars: int, min_documents: int) -> DataFrame:
+    """The rows of ``df`` with _gs_lines, _gs_dropped and _gs_kept, the reassembled text."""
+    docs = df.withColumn("_gs_row", text_key(F.col("text")))
     keys = line_keys(df.filter("doc_id IS NOT NULL"), min_key_chars)
     # Repeated rows hold equal positions, which one of them is enough to find.
     dropped = (keys.join(shared_keys(keys, min_documents), "key")
                .filter("doc_id > keeper")
-               .groupBy("doc_id", "row").agg(F.collect_set("position").alias("drop")))
+               .groupBy(F.col("doc_id").alias("_gs_id"), F.col("row").alias("_gs_text"))
+               .agg(F.collect_set("position").alias("_gs_drop")))
     lines = _lines(F.col("text"))
-    size = F.size("lines")
+    size = F.size("_gs_split")
     # Linear in the number of lines: the places that stay, then the lines at those places.
-    stay = F.array_except(F.sequence(F.lit(0), size - 1), F.col("drop"))
-    picked = F.transform(F.array(F.struct("lines", stay.alias("stay"))), lambda s: F.transform(
+    stay = F.array_except(F.sequence(F.lit(0), size - 1), F.col("_gs_drop"))
+    picked = F.transform(F.array(F.struct(F.col("_gs_split").alias("lines"), stay.alias("stay"))), lambda s: F.transform(
         s["stay"], lambda i: F.get(s["lines"], i)))
-    kept = (F.when(F.col("drop").isNull(), F.coalesce(F.col("text"), F.lit("")))
+    kept = (F.when(F.col("_gs_drop").isNull(), F.coalesce(F.col("text"), F.lit("")))
             .otherwise(F.array_join(F.get(picked, F.lit(0)), "\n")))
-    return (docs.join(dropped, ["doc_id", "row"], "left")
-            .select("doc_id", "text", "drop", lines.alias("lines"))
-            .select("doc_id", "text", size.cast("long").alias("n_lines"),
-                    F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
-                    kept.alias("kept")))
+    joined = docs.join(dropped, (F.col("doc_id") == F.col("_gs_id")) & (F.col("_gs_row") == F.col("_gs_text")), "left")
+    return (joined.drop("_gs_id", "_gs_text", "_gs_row").withColumn("_gs_split", lines)
+            .withColumns({"_gs_lines": size.cast("long"), "_gs_kept": kept,
+                          "_gs_dropped": F.coalesce(F.size("_gs_drop"), F.lit(0)).cast("long")})
+            .drop("_gs_split", "_gs_drop"))
+
+
+def drop_lines(df: DataFrame, min_key_chars: int = MIN_KEY_CHARS,
+               min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept of every row; ``kept`` is the reassembled text."""
+    found = _with_kept(df.select("doc_id", "text"), min_key_chars, min_documents)
+    return found.select("doc_id", F.col("_gs_lines").alias("n_lines"),
+                        F.col("_gs_dropped").alias("n_dropped"), F.col("_gs_kept").alias("kept"))
+
+
+def replace_texts(df: DataFrame, min_key_chars: int = MIN_KEY_CHARS,
+                  min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """The rows of ``df``, all columns, with the reassembled texts; n_chars follows if there is one."""
+    found = _with_kept(df, min_key_chars, min_documents)
+    new = {"text": F.when(F.col("text").isNotNull(), F.col("_gs_kept"))}
+    if "n_chars" in df.columns:
+        new["n_chars"] = F.when(F.col("_gs_dropped") > 0, F.char_length("_gs_kept").cast("long")).otherwise(F.col("n_chars"))
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])

@@ -10,6 +10,7 @@ from gitsift.llm import (
     automaton_dedup,
     bpe,
     decontam,
+    language,
     lines,
     page_text,
     quality,
@@ -84,6 +85,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a model that two thirds of the labelled ones taught."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.filter(~language.held_out(F.col("doc_id"))))
+    found = language.predict(docs, model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold, exactly or within a few edits."""
