@@ -40,8 +40,8 @@ def normalise_diff(df: DataFrame, column: str) -> Column:
     return F.lit("")
 
 
-def diff_stats(text: Column) -> Column:
-    """Counts over the whole text, then the text cut to 4000 characters."""
+def diff_stats(text: Column, max_chars: int | None = None) -> Column:
+    """Counts over the whole text, and the text, cut only if ``max_chars`` says so."""
 
     def counted(ls: Column) -> Column:
         def count(wanted: str, unwanted: str) -> Column:
@@ -60,7 +60,7 @@ def diff_stats(text: Column) -> Column:
 
     stats = let(lines(text), counted)
     return F.struct(
-        F.substring(text, 1, fv.MAX_DIFF_CHARS).alias("diff_text"),
+        (text if max_chars is None else F.substring(text, 1, max_chars)).alias("diff_text"),
         stats["files_changed"].alias("files_changed"),
         stats["lines_added"].alias("lines_added"),
         stats["lines_removed"].alias("lines_removed"),

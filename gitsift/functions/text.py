@@ -54,15 +54,16 @@ def commit_type(message: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(head, PREFIX_PATTERN, 1)), F.lit(""))
 
 
-def strip_prefix(message: Column) -> Column:
-    """Message without its type prefix, at most 500 characters; ``""`` for null."""
+def strip_prefix(message: Column, max_chars: int | None = None) -> Column:
+    """Message without its type prefix, cut only if ``max_chars`` says so; ``""`` for null."""
 
     def cleaned(text: Column) -> Column:
         head = F.substring_index(text, "\n", 1)
         rest = strip(F.regexp_extract(head, PREFIX_PATTERN, 3))
         kept = F.when(head.rlike(PREFIX_PATTERN), rest).otherwise(head)
         tail = F.substring(text, F.length(head) + 1, F.length(text))
-        return F.substring(strip(F.concat(kept, tail)), 1, fv.MAX_MESSAGE_CHARS)
+        whole = strip(F.concat(kept, tail))
+        return whole if max_chars is None else F.substring(whole, 1, max_chars)
 
     return F.coalesce(let(unify_lines(strip(message)), cleaned), F.lit(""))
 

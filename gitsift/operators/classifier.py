@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -126,7 +125,7 @@ class TextClassifier:
         matrix[: fitted.shape[0]] = fitted
         intercepts = np.full(K, -np.inf)  # a class without training rows stays impossible
         intercepts[: fitted.shape[0]] = model.interceptVector.toArray()
-        rows = pd.DataFrame({"idx": np.arange(n_terms), "coef": list(matrix[:, :n_terms].T)})
+        rows = list(enumerate(matrix[:, :n_terms].T.tolist()))  # bounded by the vocabulary
         coefficients = spark.createDataFrame(rows, "idx int, coef array<double>")
         parameters = Parameters(
             max_terms, n_terms, [float(max(x, -1e300)) for x in intercepts], means, stds,
@@ -137,7 +136,7 @@ class TextClassifier:
         """``(commit_id, probs)`` for rows with clean texts and numerics."""
         p = self.parameters
         weighted = tfidf.raw_weights(df, BLOCKS, self.terms, p.max_terms).join(
-            tfidf.small(self.terms.select("idx", "coef"), 2 * p.max_terms), "idx")
+            self.terms.select("idx", "coef"), "idx")
         per_block = weighted.groupBy("commit_id", "block_no").agg(
             F.sum(F.col("w") * F.col("w")).alias("n2"),
             *[F.sum(F.col("w") * F.col("coef")[k]).alias(f"s{k}") for k in range(K)])

@@ -43,7 +43,7 @@ def drop_empty_messages(df: DataFrame, message: str = "message_clean") -> DataFr
 
 
 def features_of(df: DataFrame) -> DataFrame:
-    """Clean text and numeric features of (``message``, ``full_diff``), labels aside."""
+    """Clean whole texts and numeric features of (``message``, ``full_diff``), labels aside."""
     stats = diff_stats(F.col("full_diff"))
     kept = [c for c in df.columns if c not in ("message", "full_diff")]
     return df.select(

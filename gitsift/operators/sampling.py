@@ -50,8 +50,8 @@ def rank_thresholds(
     smallest = F.min("n").over(Window.partitionBy(F.lit(0)))  # one row per group
     wanted = sizes.withColumn("smallest", smallest)
     ranks = [c.cast("long") for c in cuts(F.col("n"), F.col("smallest"))]
-    wanted = wanted.select(
-        "grp", "n", F.posexplode(F.array(*ranks)).alias("cut_no", "rank")
+    wanted = wanted.withColumn("ranks", F.array(*ranks)).select(
+        "grp", "n", F.posexplode("ranks").alias("cut_no", "rank")
     )
     up_to = Window.partitionBy("grp").orderBy("bucket")  # at most 65,536 rows per group
     spans = counts.withColumn("upto", F.sum("cnt").over(up_to))
@@ -154,13 +154,21 @@ def proportional_sample(
     df: DataFrame, max_rows: int, total: int | None = None, seed: int = fv.SEED,
     label: str = "label", id_column: str = "commit_id",
 ) -> DataFrame:
-    """``max_rows`` rows, each class keeping its share (rounded up); all rows if fewer."""
+    """Exactly ``max_rows`` rows, each class keeping its share; all rows if fewer.
+
+    Shares are whole by largest remainder; equal remainders go by class name.
+    """
     n_total = df.count() if total is None else total
     if max_rows <= 0 or n_total <= max_rows:
         return df
-    return take_per_class(
-        df, lambda n, _: F.ceil(n * max_rows / n_total), seed, label, id_column
-    )
+
+    def size(n: Column, _: Column) -> Column:
+        everything = Window.partitionBy(F.lit(0))  # one row per class
+        whole = F.floor(n * max_rows / n_total)
+        rest = F.row_number().over(everything.orderBy(F.desc((n * max_rows) % n_total), "grp"))
+        return whole + (rest <= max_rows - F.sum(whole).over(everything)).cast("long")
+
+    return take_per_class(df, size, seed, label, id_column)
 
 
 def evaluation_sample(df: DataFrame, n: int, **options) -> DataFrame:
@@ -174,8 +182,9 @@ def evaluation_sample(df: DataFrame, n: int, **options) -> DataFrame:
 def natural_sample(
     df: DataFrame, n: int, seed: int = fv.SEED, id_column: str = "commit_id"
 ) -> DataFrame:
-    """``n`` rows of the natural distribution: a top-n, never a full sort."""
-    return df.orderBy(hash_key(id_column, seed)).limit(n)
+    """``n`` rows of the natural distribution: those below one threshold, nothing sorted."""
+    one = df.withColumn("_all", F.lit(0))
+    return take_per_class(one, lambda *_: F.lit(n), seed, "_all", id_column).select(*df.columns)
 
 
 def shuffled(df: DataFrame, seed: int = fv.SEED, id_column: str = "commit_id") -> DataFrame:

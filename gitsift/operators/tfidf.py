@@ -21,8 +21,6 @@ from gitsift import fixed_values as fv
 from gitsift.functions import ngrams
 from gitsift.session import spread
 
-BROADCAST_TERMS = 200_000
-
 
 @dataclass(frozen=True)
 class Block:
@@ -82,11 +80,6 @@ def fit_vocabulary(
     return out
 
 
-def small(vocabulary_table: DataFrame, max_terms: int) -> DataFrame:
-    """Broadcast hint only while the cap keeps the table small."""
-    return F.broadcast(vocabulary_table) if max_terms <= BROADCAST_TERMS else vocabulary_table
-
-
 def raw_weights(
     df: DataFrame, blocks: Sequence[Block], terms: DataFrame, max_terms: int = fv.MAX_TERMS,
     id_column: str = "commit_id",
@@ -105,7 +98,7 @@ def raw_weights(
     return (
         by_id.select(id_column, F.explode(parts).alias("p"))
         .select(id_column, "p.block_no", F.explode("p.terms").alias("term"))
-        .join(small(known, max_terms), ["block_no", "term"])
+        .join(known, ["block_no", "term"])
         .groupBy(id_column, "block_no", "idx", "idf")
         .agg(F.count("*").alias("tf"))
         .select(id_column, "block_no", "idx", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
@@ -124,18 +117,24 @@ def tfidf(
 
 def vectors(
     df: DataFrame, block: Block, terms: DataFrame, max_terms: int = fv.MAX_TERMS,
-    id_column: str = "commit_id",
+    id_column: str = "commit_id", keep_empty: bool = False,
 ) -> DataFrame:
     """``(id, idx array<int>, weight array<double>)`` in index order, unit length.
 
-    A document's terms are bounded by its cut text, so the array is bounded too.
+    A document's array is bounded by the vocabulary. Documents without a known term
+    are left out, or come with empty arrays if ``keep_empty`` says so.
     """
     w = raw_weights(df, [block], terms.filter(F.col("block") == block.name), max_terms, id_column)
     entries = F.sort_array(F.collect_list(F.struct("idx", "w")))
     packed = w.groupBy(id_column).agg(entries.alias("e"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return packed.select(
+    found = packed.select(
         id_column, F.transform("e", lambda e: e["idx"]).alias("idx"),
         F.transform("e", lambda e: e["w"] / F.col("norm")).alias("weight"))
+    if not keep_empty:
+        return found
+    return df.select(id_column).distinct().join(found, id_column, "left").select(
+        id_column, F.coalesce("idx", F.array().cast("array<int>")).alias("idx"),
+        F.coalesce("weight", F.array().cast("array<double>")).alias("weight"))
 
 
 def numeric_scale(df: DataFrame, columns: Sequence[str] = tuple(fv.NUMERIC_COLUMNS)) -> DataFrame:
@@ -164,7 +163,7 @@ def token_sequences(
     shown = F.slice(ngrams.plain_tokens(F.col(column)), 1, length)
     pieces = spread(df.select(id_column, column), id_column).select(
         id_column, F.posexplode_outer(shown).alias("pos", "token"))
-    known = pieces.join(small(ids, vocabulary_size), "token", "left")
+    known = pieces.join(ids, "token", "left")
     value = F.when(F.col("token").isNotNull(), F.coalesce("token_id", F.lit(1)))
     packed = known.groupBy(id_column).agg(F.sort_array(F.collect_list(
         F.when(value.isNotNull(), F.struct(F.col("pos"), value.alias("v"))))).alias("e"))

@@ -22,13 +22,16 @@ from gitsift.session import measured
 
 
 def alignment(predictions: DataFrame, n_members: int) -> DataFrame:
-    """How many commits lack a member's row, and how many have differing gold labels."""
+    """How many commits lack a member, and how many have differing gold labels.
+
+    Members count by name, so one that is there twice does not stand in for another.
+    """
     per_commit = predictions.groupBy("commit_id").agg(
-        F.count("*").alias("rows"), (F.min("gold") != F.max("gold")).alias("conflict")
+        F.count_distinct("member").alias("members"), (F.min("gold") != F.max("gold")).alias("conflict")
     )
     return per_commit.agg(
         F.count("*").alias("n_commits"),
-        F.count_if(F.col("rows") != n_members).alias("n_incomplete"),
+        F.count_if(F.col("members") != n_members).alias("n_incomplete"),
         F.count_if("conflict").alias("n_conflicts"),
     )
 
@@ -91,7 +94,8 @@ def candidate_weights(n_members: int, steps: int = 10) -> list[tuple[float, ...]
 def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int = 10) -> DataFrame:
     """Macro-F1 of every candidate weight vector, in one pass.
 
-    Each commit is scored under all candidates inside its task and only counts
+    Members are found by name. A commit that lacks one is an error: scored by what is
+    there, it would be scored with other weights than the candidate's. Each commit is scored under all candidates inside its task and only counts
     per (candidate, gold, predicted) are shuffled: 25 cells per candidate.
     """
     grid_rows = candidate_weights(len(members), steps)
@@ -99,9 +103,17 @@ def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int
     rows = [dict(zip(["candidate", *fields], (i, *row))) for i, row in enumerate(grid_rows)]
     shape = "array<struct<candidate: int, " + ", ".join(f"{w}: double" for w in fields) + ">>"
     candidates = F.from_json(F.lit(json.dumps(rows)), shape)
-    wide = stack(probabilities).select(
+    def of(member: str) -> Column:
+        found = F.max(F.when(F.col("member") == member, F.col("probs")))
+        lacking = F.raise_error(F.concat(F.lit(f"no answer of {member} for commit "),
+                                         F.col("commit_id").cast("string")))
+        return F.when(found.isNotNull(), found).otherwise(lacking.cast("array<double>"))
+
+    by_name = probabilities.groupBy("commit_id").agg(
+        F.first("gold").alias("gold"), *[of(m).alias(f"m{k}") for k, m in enumerate(members)])
+    wide = by_name.select(
         "gold", *[
-            F.col("stack")[k]["probs"][c].alias(f"p{k}_{c}")
+            F.col(f"m{k}")[c].alias(f"p{k}_{c}")
             for k in range(len(members)) for c in range(len(fv.TARGET_CLASSES))
         ],
     )

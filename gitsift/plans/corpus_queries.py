@@ -82,12 +82,13 @@ def src4(spark, sf_dir):
 
 @query("src5_split_table", sql(fx.SPLIT_SQL, f"""
 SELECT {CLEAN_OUT}, split, CAST({fx.CLASS_INDEX.format("label")} AS INTEGER) AS label_id
-FROM splits WHERE split = 'val'"""))
+FROM splits"""))
 def src5(spark, sf_dir):
-    """Write every split, read one back: only its folder is scanned."""
+    """Write every split, read each back: only its folder is scanned for it."""
     path = new_path(spark, "splits")
     corpus.write_splits(fx.new_splits(spark, sf_dir), path)
-    return corpus.load_split(spark, path, "val")
+    parts = [corpus.load_split(spark, path, name) for name in ("train", "val", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("src6_head_sample", sql(fx.COMMITS_SQL, """
@@ -136,10 +137,10 @@ def str1(spark, sf_dir):
         "commit_id", tx.commit_type(F.col("message")).alias("label"))
 
 
-@query("str2_strip_prefix", sql(fx.clean_sql("true"), "SELECT commit_id, message_clean FROM parsed2"))
+@query("str2_strip_prefix", sql(fx.clean_sql("true"), "SELECT commit_id, substring(message_clean, 1, 500) AS message_clean FROM parsed2"))
 def str2(spark, sf_dir):
     return fx.commits(spark, sf_dir).select(
-        "commit_id", tx.strip_prefix(F.col("message")).alias("message_clean"))
+        "commit_id", tx.strip_prefix(F.col("message"), fv.MAX_MESSAGE_CHARS).alias("message_clean"))
 
 
 @query("str3_normalise_diff", sql(fx.MULTI_FILE_SQL, "SELECT commit_id, full_diff FROM files"))
@@ -149,12 +150,13 @@ def str3(spark, sf_dir):
 
 
 @query("str4_diff_statistics", sql(fx.clean_sql("true"), """
-SELECT commit_id, md5(diff_text) AS diff_md5, length(diff_text) AS diff_chars,
+SELECT commit_id, md5(substring(diff_text, 1, 4000)) AS diff_md5,
+  length(substring(diff_text, 1, 4000)) AS diff_chars,
   CAST(files_changed AS INTEGER) AS files_changed, CAST(lines_added AS INTEGER) AS lines_added,
   CAST(lines_removed AS INTEGER) AS lines_removed FROM stats"""))
 def str4(spark, sf_dir):
     df = cleaning.resolve_columns(fx.commits(spark, sf_dir), keep=["commit_id"])
-    return df.select("commit_id", diff_stats(F.col("full_diff")).alias("s")).select(
+    return df.select("commit_id", diff_stats(F.col("full_diff"), fv.MAX_DIFF_CHARS).alias("s")).select(
         "commit_id", F.md5(F.col("s.diff_text").cast("binary")).alias("diff_md5"),
         F.length("s.diff_text").alias("diff_chars"), *[f"s.{c}" for c in COUNTS])
 
@@ -273,8 +275,16 @@ def smp3(spark, sf_dir):
     return sampling.budgeted_subsample(fx.clean(spark, sf_dir), 400).select("commit_id", "label")
 
 
-@query("smp4_proportional_sample", sql(fx.CLEAN_SQL, ranked_sql(
-    "true", "CASE WHEN n_all <= 500 THEN n ELSE ceil(n * 500 / n_all) END")))
+@query("smp4_proportional_sample", sql(fx.CLEAN_SQL, """,
+sizes AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS n_all FROM clean GROUP BY label),
+shares AS (SELECT label, n, n_all, n * 500 // n_all AS whole, row_number() OVER (
+    ORDER BY n * 500 % n_all DESC, label) AS place, 500 - sum(n * 500 // n_all) OVER () AS spare
+  FROM sizes),
+quota AS (SELECT label, CASE WHEN n_all <= 500 THEN n ELSE whole + CAST(place <= spare AS INT) END
+    AS most FROM shares),
+k AS (SELECT commit_id, label,
+    row_number() OVER (PARTITION BY label ORDER BY md5('42|' || commit_id), commit_id) AS r FROM clean)
+SELECT commit_id, label FROM k JOIN quota USING (label) WHERE r <= most"""))
 def smp4(spark, sf_dir):
     df = fx.clean(spark, sf_dir).select("commit_id", "label")
     return sampling.proportional_sample(df, 500)

@@ -168,7 +168,7 @@ SELECT commit_id, term, round(weight, 6) AS weight FROM mw"""))
 def mlf1(spark, sf_dir):
     terms = fitted_terms(spark, sf_dir).filter(F.col("block") == "message")
     df = tfidf.tfidf(fx.splits(spark, sf_dir), [tfidf.MESSAGE], terms)
-    named = df.join(tfidf.small(terms.select("idx", "term"), fv.MAX_TERMS), "idx")
+    named = df.join(terms.select("idx", "term"), "idx")
     return rounded(named.select("commit_id", "term", "weight"), ["weight"])
 
 
@@ -243,10 +243,14 @@ def mlf4(spark, sf_dir):
 
 
 # --- retrieval --------------------------------------------------------------
-def nearest_sql(query_weights: str, corpus_weights: str) -> str:
+def nearest_sql(query_weights: str, corpus_weights: str, asked: str) -> str:
+    """Every query with every training row, so that those of cosine 0 can fill up to three."""
     return f"""
-sims AS (SELECT q.commit_id AS query_id, c.commit_id AS id, round(sum(q.weight * c.weight), 9) AS score
+dots AS (SELECT q.commit_id AS query_id, c.commit_id AS id, round(sum(q.weight * c.weight), 9) AS score
   FROM {query_weights} q JOIN {corpus_weights} c USING (idx) GROUP BY 1, 2),
+sims AS (SELECT a.commit_id AS query_id, t.commit_id AS id, coalesce(d.score, 0) AS score
+  FROM {asked} a CROSS JOIN train t
+  LEFT JOIN dots d ON d.query_id = a.commit_id AND d.id = t.commit_id),
 near AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)
     AS rank FROM sims QUALIFY rank <= 3)"""
 
@@ -255,7 +259,7 @@ RETRIEVAL_SQL = TRAIN_SQL + "," + D_SQL + "," + weights_sql("cw", "d", "d_v") +
 asked AS (SELECT commit_id, coalesce(nullif(diff_text, ''), message_clean) AS q FROM splits
   WHERE split = 'test' AND trim(coalesce(nullif(diff_text, ''), message_clean), {fx.WS}) <> ''),""" \
     + counts_sql("asked", "qc", "q", "char") + "," + weights_sql("qw", "qc", "d_v") + "," \
-    + nearest_sql("qw", "cw")
+    + nearest_sql("qw", "cw", "asked")
 
 
 def corpus_vectors(spark, sf_dir):
@@ -263,7 +267,7 @@ def corpus_vectors(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir, "vectors")
     if key not in _TERMS:
         _TERMS[key] = materialise(tfidf.vectors(
-            train_of(spark, sf_dir), tfidf.DIFF, fitted_terms(spark, sf_dir)), "index")
+            train_of(spark, sf_dir), tfidf.DIFF, fitted_terms(spark, sf_dir), keep_empty=True), "index")
     return _TERMS[key]
 
 
@@ -297,7 +301,7 @@ def ret2(spark, sf_dir):
 MESSAGE_NEAR_SQL = TRAIN_SQL + "," + M_SQL + "," + weights_sql("cw", "m", "m_v") + """,
 te AS (SELECT * FROM splits WHERE split = 'test'),""" \
     + counts_sql("te", "qc", "message_clean", "word") + "," + weights_sql("qw", "qc", "m_v") + "," \
-    + nearest_sql("qw", "cw")
+    + nearest_sql("qw", "cw", "te")
 
 
 @query("joi7_message_similarity", sql(MESSAGE_NEAR_SQL, """
@@ -307,8 +311,9 @@ def joi7(spark, sf_dir):
     terms = fitted_terms(spark, sf_dir)
     test = fx.splits(spark, sf_dir).filter(F.col("split") == "test")
     near = retrieval.nearest(
-        tfidf.vectors(test, tfidf.MESSAGE, terms),
-        tfidf.vectors(train_of(spark, sf_dir), tfidf.MESSAGE, terms), fv.MAX_TERMS)
+        materialise(tfidf.vectors(test, tfidf.MESSAGE, terms, keep_empty=True), "asked"),
+        materialise(tfidf.vectors(train_of(spark, sf_dir), tfidf.MESSAGE, terms, keep_empty=True),
+                    "message-index"), fv.MAX_TERMS)
     return rounded(near, ["score"])
 
 

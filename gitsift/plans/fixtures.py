@@ -26,17 +26,9 @@ EVENT_LABELS = {
 }
 
 
-KEYS = {"documents": "doc_id", "events": "event_id", "orders": "o_orderkey",
-        "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One that is a single small file is spread over the cores by its key."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in KEYS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, KEYS[name])
-    return df
+    """A given table, split as the file reader splits it."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list[str], index: Column) -> Column:
@@ -154,13 +146,13 @@ parsed AS (
     coalesce(diff, '') AS full_diff FROM commits),
 parsed2 AS (
   SELECT *, nullif(lower(regexp_extract(head, {PREFIX}, 1)), '') AS label,
-    substring(trim(CASE WHEN regexp_matches(head, {PREFIX})
+    trim(CASE WHEN regexp_matches(head, {PREFIX})
         THEN trim(regexp_extract(head, {PREFIX}, 3), {WS}) ELSE head END
-      || substring(norm, length(head) + 1), {WS}), 1, 500) AS message_clean,
+      || substring(norm, length(head) + 1), {WS}) AS message_clean,
     CASE WHEN full_diff = '' THEN [] ELSE regexp_split_to_array(full_diff, {NL}) END AS dl
   FROM parsed),
 stats AS (
-  SELECT *, substring(full_diff, 1, 4000) AS diff_text,
+  SELECT *, full_diff AS diff_text,
     CASE WHEN full_diff = '' THEN 0 ELSE greatest(1,
       len(list_filter(dl, lambda l: starts_with(l, 'diff --git')))) END AS files_changed,
     len(list_filter(dl, lambda l: starts_with(l, '+') AND NOT starts_with(l, '+++')))

@@ -158,7 +158,7 @@ def src9(spark, sf_dir):
 SELECT commit_id, substring(hash, 1, 10) AS hash, author, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS date,
   substring(split_part(message, chr(10), 1), 1, 160) AS first_line,
   substring(full_diff, 1, 500) AS diff_preview, md5(full_diff) AS diff_md5
-FROM exported WHERE n_parents <= 1 ORDER BY ts DESC, exported.hash DESC LIMIT 200"""))
+FROM exported WHERE n_parents <= 1 ORDER BY ts DESC, exported.hash DESC LIMIT 5000"""))
 def src8(spark, sf_dir):
     df = repository.scan(fx.exported_history(spark, sf_dir), last_n=5000)
     return df.select("commit_id", "hash", "author", "date", "first_line", "diff_preview",

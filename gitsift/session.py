@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
-
 
 def build_session(app_name: str = "gitsift", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans expect; ``conf`` overrides them."""
@@ -32,31 +29,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash partitions by ``key``, as many as ``spark.sql.shuffle.partitions`` says.
 
     The number is given so that it is not lowered for small texts: what follows
-    costs far more work per byte than the shuffle's size suggests. A local master
-    gains nothing from more than a few tasks per core.
+    costs far more work per byte than the shuffle's size suggests.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.sparkContext.master.startswith("local"):
-        parts = min(parts, 2 * spark.sparkContext.defaultParallelism)
-    return df.repartition(parts, key)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables, as named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables.
 
-    A temporary folder stands in only where nothing is set and the master is
-    local; on a cluster such a folder would be lost with its machine.
+    It lies below ``spark.checkpoint.dir``, or the checkpoint folder set on the
+    context, or else Spark's warehouse, which every executor must reach anyway.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if shared:
-        return f"{shared.rstrip('/')}/gitsift-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="gitsift-")
-    return _LOCAL_DIRS[app]
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/gitsift-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
 from gitsift.functions.text import iso_seconds, preview
+from gitsift.session import materialise
 
 MODELS = """model_id int, name string, version string, trained_at timestamp,
   accuracy_test double, macro_f1_test double, notes string"""
@@ -58,9 +59,12 @@ def prediction_rows(scored: DataFrame, models: DataFrame) -> DataFrame:
     """Log rows of scored commits: previews cut, model named by id.
 
     ``scored`` has ``id, ts, model, batch_run_id, message, diff, label, confidence,
-    probabilities, source``.
+    probabilities, source``. A model that is not registered yet is registered by its
+    first use (``add_missing_models`` gives the same rows, to be stored), so no
+    prediction is lost for the lack of a name.
     """
-    names = models.select("model_id", F.col("name").alias("model"))
+    known = add_missing_models(models, scored.select("model", "ts"))
+    names = known.select("model_id", F.col("name").alias("model"))
     return scored.join(names, "model").select(
         "id", "ts", "model_id", "batch_run_id",
         preview(F.col("message")).alias("message_preview"),
@@ -73,12 +77,14 @@ def append_predictions(rows: DataFrame, path: str) -> None:
 
 
 def append_new_predictions(rows: DataFrame, path: str) -> None:
-    """Appends only ids the log does not hold, so a repeated batch adds nothing.
+    """Appends only ids the log does not hold, each once, so a repeated batch adds nothing.
 
     A row logged twice carries the same time, so only the part of the log inside
     the batch's time span is read; column statistics of the files skip the rest.
     """
     spark = rows.sparkSession
+    # Written once: it is read for its span and for the join, and scoring is dear.
+    rows = materialise(rows.dropDuplicates(["id"]), "log-batch")
     span = rows.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
     if span["low"] is None:
         return
@@ -117,7 +123,11 @@ def recent_batch_runs(runs: DataFrame, models: DataFrame, limit: int = 25) -> Da
 def with_batch_run(predictions: DataFrame, runs: DataFrame) -> DataFrame:
     """Predictions with their batch run, where they have one."""
     named = runs.select(F.col("id").alias("batch_run_id"), "repo_path", "n_commits")
-    return predictions.join(named, "batch_run_id", "left")
+    # Most predictions have no run; as one null key they would meet in one task.
+    alone = predictions.filter("batch_run_id IS NULL")
+    joined = predictions.filter("batch_run_id IS NOT NULL").join(named, "batch_run_id", "left")
+    nothing = {c: F.lit(None).cast(named.schema[c].dataType) for c in ("repo_path", "n_commits")}
+    return joined.unionByName(alone.withColumns(nothing))
 
 
 def label_distribution(predictions: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ def log_batch(
     """
 
     def handle(batch: DataFrame, _: int) -> None:
+        batch = batch.dropDuplicates(["commit_id"])  # a commit may be delivered twice
         scored = score(batch, model, scorers).drop("probs")
         rows = batch.select("commit_id", "ts", "message", "diff").join(scored, "commit_id").select(
             F.col("commit_id").alias("id"), "ts", "model", F.lit(None).cast("bigint").alias("batch_run_id"),

@@ -9,13 +9,14 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    from gitsift.session import build_session
+def spark(tmp_path_factory):
+    """Spark's own defaults, so that nothing depends on the library's session builder."""
+    from pyspark.sql import SparkSession
 
-    session = build_session(
-        "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false",
-           "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
+    session = SparkSession.builder.master("local[8]").config(map={
+        "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work"))}).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
