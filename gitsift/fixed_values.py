@@ -28,7 +28,6 @@ PREVIEW_CHARS = 280
 DIFF_PREVIEW_CHARS = 500
 SCAN_SUBJECT_CHARS = 160
 RAW_PREVIEW_CHARS = 120
-SHORT_SUBJECT_CHARS = 80
 RETRIEVED_SUBJECT_CHARS = 120
 FEW_SHOT_SUBJECT_CHARS = 72
 SHORT_HASH_CHARS = 10
@@ -48,7 +47,6 @@ VALIDATION_TWENTIETHS = 3  # 0.15; the rest is the test split
 # --- fixed values: tf-idf and token sequences -------------------------------
 MAX_TERMS = 30_000
 MIN_DOC_FREQ = 2
-WORD_NGRAMS = (1, 2)
 CHAR_NGRAMS = (3, 5)
 MESSAGE_VOCABULARY = 20_000
 DIFF_VOCABULARY = 40_000
@@ -75,10 +73,7 @@ RETRIEVED_NEIGHBOURS = 3
 MODEL_VERSION = "0.1.0"
 
 # --- fixed values: published scores of the tf-idf classifier ----------------
-BASELINE_NAME = "TF-IDF baseline (n=5,845)"
 BASELINE_ACCURACY = 0.7093
-BASELINE_MACRO_F1 = 0.6632
-BASELINE_WEIGHTED_F1 = 0.7187
 
 # --- fixed values: tool names a chat answer may call ------------------------
 TOOL_NAMES = [
@@ -87,7 +82,6 @@ TOOL_NAMES = [
 ]
 
 # --- fixed values: prompt wording -------------------------------------------
-CLASS_LIST = "feat, fix, docs, refactor, test"
 EXAMPLE_SEPARATOR = "\n\n---\n\n"
 
 GENERATE_SYSTEM = (

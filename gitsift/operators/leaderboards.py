@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gitsift import fixed_values as fv
 from gitsift.operators.metrics import comparison
 
 
@@ -55,10 +54,24 @@ def parse_outliers(runs: DataFrame, rate: float = 0.5) -> DataFrame:
     return runs.filter(F.col("parse_failure_rate") > rate)
 
 
-def against_baseline(runs: DataFrame, accuracy: float = fv.BASELINE_ACCURACY) -> DataFrame:
+SCORES = ["accuracy", "macro_f1", "weighted_f1"]
+
+
+def baseline_of(reports: DataFrame, system: str) -> DataFrame:
+    """One row: the name and scores of a stored report, to compare others with."""
+    return reports.select(F.lit(system).alias("system"), *SCORES).limit(1)
+
+
+def _beside(df: DataFrame, baseline: DataFrame) -> DataFrame:
+    """``df`` with the one-row baseline's scores as ``b_*``."""
+    return df.join(F.broadcast(baseline.select(*[F.col(c).alias(f"b_{c}") for c in SCORES])))
+
+
+def against_baseline(runs: DataFrame, baseline: DataFrame) -> DataFrame:
     """Runs at or above the baseline, or else the best run with its gap in points."""
-    flagged = runs.withColumn("beats", F.col("accuracy") >= accuracy).withColumn(
-        "gap_points", F.round((F.lit(accuracy) - F.col("accuracy")) * 100, 1))
+    flagged = _beside(runs, baseline).withColumn("beats", F.col("accuracy") >= F.col("b_accuracy")).withColumn(
+        "gap_points", F.round((F.col("b_accuracy") - F.col("accuracy")) * 100, 1)).drop(
+        *[f"b_{c}" for c in SCORES])
     best = flagged.agg(
         F.max("accuracy").alias("top"), F.bool_or("beats").alias("any_beats"),
         F.min_by(F.struct(*flagged.columns),
@@ -67,10 +80,10 @@ def against_baseline(runs: DataFrame, accuracy: float = fv.BASELINE_ACCURACY) ->
     return flagged.filter("beats").unionByName(alone)
 
 
-def is_winner(accuracy: Column, macro_f1: Column, weighted_f1: Column) -> Column:
-    return F.coalesce(
-        (accuracy >= fv.BASELINE_ACCURACY) & (macro_f1 >= fv.BASELINE_MACRO_F1)
-        & (weighted_f1 >= fv.BASELINE_WEIGHTED_F1), F.lit(False))
+def is_winner() -> Column:
+    """No score below the baseline's, which stand beside them as ``b_*``."""
+    no_less = [F.col(c) >= F.col(f"b_{c}") for c in SCORES]
+    return F.coalesce(no_less[0] & no_less[1] & no_less[2], F.lit(False))
 
 
 def pretty_generation(runs: DataFrame) -> DataFrame:
@@ -100,19 +113,14 @@ def report_label(model: Column, strategy: Column) -> Column:
     return F.concat(F.split(model, ":", 2)[0], F.lit(" / "), strategy)
 
 
-def systems_board(classify_runs: DataFrame, ensembles: DataFrame) -> DataFrame:
+def systems_board(classify_runs: DataFrame, ensembles: DataFrame, baseline: DataFrame) -> DataFrame:
     """Baseline, runs and ensembles in one table by accuracy; only ensembles can win."""
-    scores = ["accuracy", "macro_f1", "weighted_f1"]
-    values = (fv.BASELINE_ACCURACY, fv.BASELINE_MACRO_F1, fv.BASELINE_WEIGHTED_F1)
-    baseline = classify_runs.sparkSession.range(1).select(
-        F.lit(fv.BASELINE_NAME).alias("system"),
-        *[F.lit(v).alias(c) for c, v in zip(scores, values)],
-        F.lit(True).alias("is_baseline"), F.lit(False).alias("is_winner"))
+    first = baseline.select("system", *SCORES, F.lit(True).alias("is_baseline"), F.lit(False).alias("is_winner"))
     runs = classify_runs.select(
-        F.concat_ws(" · ", "model", "strategy").alias("system"), *scores,
+        F.concat_ws(" · ", "model", "strategy").alias("system"), *SCORES,
         F.lit(False).alias("is_baseline"), F.lit(False).alias("is_winner"))
     short = F.replace(F.col("config"), F.lit("ensemble_"), F.lit(""))
-    votes = ensembles.filter(F.col("accuracy").isNotNull()).select(
-        F.concat(F.lit("ensemble · "), short).alias("system"), *scores,
-        F.lit(False).alias("is_baseline"), is_winner(*[F.col(c) for c in scores]).alias("is_winner"))
-    return baseline.unionByName(runs).unionByName(votes).orderBy(F.desc("accuracy"), "system")
+    votes = _beside(ensembles.filter(F.col("accuracy").isNotNull()), baseline).select(
+        F.concat(F.lit("ensemble · "), short).alias("system"), *SCORES,
+        F.lit(False).alias("is_baseline"), is_winner().alias("is_winner"))
+    return first.unionByName(runs).unionByName(votes).orderBy(F.desc("accuracy"), "system")

@@ -101,26 +101,42 @@ def str15(spark, sf_dir):
                      F.md5(F.array_join("t", "|").cast("binary")).alias("terms_md5"))
 
 
-@query("str16_token_sequences", sql(TRAIN_SQL, f""",
+def sequences_sql(column: str, vocabulary: int, length: int) -> str:
+    return sql(TRAIN_SQL, f""",
 tok AS (SELECT commit_id, split, list_filter(regexp_split_to_array(
-    regexp_replace(lower(message_clean), {fx.sql_text(fv.PUNCTUATION)}, '', 'g'), {SPACES}),
+    regexp_replace(lower({column}), {fx.sql_text(fv.PUNCTUATION)}, '', 'g'), {SPACES}),
     lambda w: w <> '') AS t FROM splits),
 v AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 1 AS i FROM (
   SELECT token, count(*) AS n FROM (SELECT unnest(t) AS token FROM tok WHERE split = 'train')
-  GROUP BY token ORDER BY n DESC, token LIMIT 19998)),
-p AS (SELECT commit_id, unnest(t[1:48]) AS token, generate_subscripts(t[1:48], 1) AS pos FROM tok),
+  GROUP BY token ORDER BY n DESC, token LIMIT {vocabulary - 2})),
+p AS (SELECT commit_id, unnest(t[1:{length}]) AS token, generate_subscripts(t[1:{length}], 1) AS pos FROM tok),
 s AS (SELECT commit_id, list(coalesce(i, 1) ORDER BY pos) AS ids FROM p LEFT JOIN v USING (token)
   GROUP BY commit_id)
 SELECT commit_id, array_to_string(list_concat(coalesce(ids, []),
-  list_transform(range(48 - coalesce(len(ids), 0)), lambda x: 0)), ' ') AS tokens
-FROM tok LEFT JOIN s USING (commit_id)"""))
-def str16(spark, sf_dir):
+  list_transform(range({length} - coalesce(len(ids), 0)), lambda x: 0)), ' ') AS tokens
+FROM tok LEFT JOIN s USING (commit_id)""")
+
+
+def sequences(spark, sf_dir, column: str, vocabulary: int, length: int):
     df = tfidf.token_sequences(
-        fx.splits(spark, sf_dir), "message_clean", fv.MESSAGE_VOCABULARY, fv.MESSAGE_SEQUENCE,
-        train_of(spark, sf_dir))
+        fx.splits(spark, sf_dir), column, vocabulary, length, train_of(spark, sf_dir))
     return df.select("commit_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+MESSAGE_SIDE = ("message_clean", fv.MESSAGE_VOCABULARY, fv.MESSAGE_SEQUENCE)
+DIFF_SIDE = ("diff_text", fv.DIFF_VOCABULARY, fv.DIFF_SEQUENCE)
+
+
+@query("str16_token_sequences", sequences_sql(*MESSAGE_SIDE))
+def str16(spark, sf_dir):
+    return sequences(spark, sf_dir, *MESSAGE_SIDE)
+
+
+@query("str16_diff_sequences", sequences_sql(*DIFF_SIDE))
+def str16_diff(spark, sf_dir):
+    return sequences(spark, sf_dir, *DIFF_SIDE)
+
+
 # --- tf-idf -----------------------------------------------------------------
 @query("agg14_message_vocabulary", sql(TRAIN_SQL + "," + counts_sql("train", "m", "message_clean", "word")
                                        + "," + vocabulary_sql("m", "train"), """

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
@@ -15,13 +18,14 @@ from gitsift.operators import (
     retrieval,
     scoring,
     summaries,
+    voting,
 )
 from gitsift.plans import answer_queries as aq
 from gitsift.plans import feature_queries as fq
 from gitsift.plans import fixtures as fx
 from gitsift.plans.registry import query
 from gitsift.plans.registry import with_tables as sql
-from gitsift.plans.voting_queries import ARGMAX, AVERAGES, NAMES, rounded
+from gitsift.plans.voting_queries import ARGMAX, AVERAGES, NAMES, SOFT_WEIGHTS, rounded, soft_sql
 from gitsift.session import materialise, new_path
 from gitsift.sources import batch_csv, corpus, repository
 
@@ -90,6 +94,45 @@ def mlt5(spark, sf_dir):
                      pr.as_json(F.col("probs"), 4).alias("probabilities"))
 
 
+LLM_WEIGHTS = dict(zip(fx.ANSWER_MODELS, fv.ANSWER_ENSEMBLE_MEMBERS.values()))
+COMPOSED_SQL = aq.CLASSIFIED_SQL + "," + fx.MEMBER_PROBS_SQL.replace(fx.COMMITS_SQL + ",", "") + "," + soft_sql(
+    SOFT_WEIGHTS) + f""",
+ask AS (SELECT commit_id, model, CASE WHEN predicted IN {fx.TARGETS} THEN predicted ELSE 'fix' END AS pred
+  FROM classified WHERE strategy = 'few_shot'),
+base AS (SELECT commit_id, {NAMES}[{ARGMAX}] AS pred FROM mprob WHERE member_idx = 0),
+ballot AS (SELECT commit_id, pred, CASE model {" ".join(f"WHEN '{m}' THEN {w}::DOUBLE" for m, w in LLM_WEIGHTS.items())}
+    END AS weight FROM ask
+  UNION ALL SELECT commit_id, pred, {fv.BASELINE_ACCURACY * fv.BASELINE_BOOST}::DOUBLE FROM base),
+mixed AS (SELECT commit_id, list_transform(['feat', 'fix', 'docs', 'refactor', 'test'], lambda c:
+    list_sum(list_transform(list(pred), lambda p, i: CASE WHEN p = c THEN list(weight)[i] ELSE 0 END)) / sum(weight))
+    AS probs FROM ballot GROUP BY commit_id),
+every AS (
+  SELECT member AS model, commit_id, probs FROM mprob
+  UNION ALL SELECT 'ensemble', commit_id, probs FROM softp
+  UNION ALL SELECT 'llm:qwen2.5-coder:3b', commit_id, list_transform(['feat', 'fix', 'docs', 'refactor', 'test'],
+    lambda c: CASE WHEN c = pred THEN 1.0 ELSE 0.0 END) FROM ask WHERE model = 'qwen2.5-coder:3b'
+  UNION ALL SELECT 'llm-ensemble', commit_id, probs FROM mixed)"""
+
+
+@query("mlt5_composed_scorers", sql(COMPOSED_SQL, f"""
+SELECT model, commit_id, {NAMES}[{ARGMAX}] AS label, round(probs[{ARGMAX}], 6) AS confidence FROM every"""))
+def mlt5_composed(spark, sf_dir):
+    """Every known model name: stored members, their ensemble, answers, and answers with the classifier."""
+    stored = fx.member_probabilities(spark, sf_dir)
+    scorers = {m: scoring.table_scorer(stored.filter(F.col("member") == m)) for m in fv.ENSEMBLE_CANDIDATES}
+    path = new_path(spark, "ensemble-weights")
+    voting.weights_table(spark.range(1), SOFT_WEIGHTS).write.parquet(path)
+    answers = fx.responses(spark, sf_dir).filter(F.col("strategy") == "few_shot")
+    scorers["ensemble"] = scoring.ensemble_scorer(dict(scorers), spark.read.parquet(path))
+    scorers["llm:qwen2.5-coder:3b"] = scoring.answer_scorer(answers.filter(F.col("model") == fx.ANSWER_MODELS[0]))
+    scorers["llm-ensemble"] = scoring.answer_ensemble_scorer(answers, scorers["baseline_tfidf"], LLM_WEIGHTS)
+    asked = fx.commits(spark, sf_dir).filter(F.col("ty").isin(fv.TARGET_CLASSES))
+    raw = asked.select("commit_id", "message", "diff")
+    parts = [scoring.score(raw, m, scorers).select("model", "commit_id", "label", "confidence")
+             for m in fv.AVAILABLE_MODELS]
+    return rounded(reduce(DataFrame.unionByName, parts), ["confidence"])
+
+
 # --- a model trained elsewhere: a fixed softmax over the numerics -----------
 OUTSIDE = [(0.9, -0.2, 0.1), (0.1, 0.6, 0.3), (-0.3, 0.1, 2.0), (0.4, 0.4, -0.5), (-0.6, -0.6, 1.0)]
 

@@ -316,8 +316,9 @@ one AS (SELECT 'ensemble [test]' AS model_name, gold, pred FROM softp),"""
     f"SELECT model_name, n_samples, true AS order_changed, {ROUNDED} FROM rep"))
 def ens3(spark, sf_dir):
     """Stored weights are joined by member name, so a changed order does no harm."""
-    stored = voting.weights_table(
-        spark.range(1), dict(reversed(SOFT_WEIGHTS.items())))
+    path = new_path(spark, "weights")
+    voting.weights_table(spark.range(1), dict(reversed(SOFT_WEIGHTS.items()))).write.parquet(path)
+    stored = spark.read.parquet(path)
     test = split_probabilities(spark, sf_dir).filter(F.col("split") == "test")
     voted = voting.soft_vote(test, stored).withColumn("model_name", F.lit("ensemble [test]"))
     report = metrics.evaluation_report(voted, ["model_name"])
