@@ -94,6 +94,81 @@ def mlt5(spark, sf_dir):
                      pr.as_json(F.col("probs"), 4).alias("probabilities"))
 
 
+# --- a classifier whose coefficients SQL can state --------------------------
+STATED = classifier.Parameters(
+    fv.MAX_TERMS, 0, [0.1 * k for k in range(classifier.K)], [1.0, 2.0, 3.0], [1.0, 10.0, 10.0],
+    [[0.05 * (k - 2), 0.02 * k, -0.03 * k] for k in range(classifier.K)], 0)
+
+
+def stated_model(spark, sf_dir):
+    """The fitted vocabulary with coefficients made from each term's letters."""
+    size, first = F.char_length("term"), F.ascii("term")
+    coef = F.array(*[((size * (k + 2) + first * (k + 1)) % 7 / 3.0 - 1) for k in range(classifier.K)])
+    terms = classifier.numbered(fq.fitted_terms(spark, sf_dir)).select(
+        "block", "term", "idx", "idf", coef.cast("array<double>").alias("coef"))
+    return classifier.TextClassifier(terms, STATED)
+
+
+def stated_sql(asked: str) -> str:
+    """CTE ``stated`` (commit_id, probs) of the rows of CTE ``asked``."""
+    dots = ", ".join(
+        f"sum(weight * ((length(term) * {k + 2} + unicode(term) * {k + 1}) % 7 / 3.0::DOUBLE - 1)) AS s{k}"
+        for k in range(classifier.K))
+    logits = ", ".join(
+        f"coalesce(s{k}, 0) + {STATED.intercepts[k]}::DOUBLE + " + " + ".join(
+            f"({c} - {STATED.means[i]}::DOUBLE) / {STATED.stds[i]} * {STATED.numeric_weights[k][i]}::DOUBLE"
+            for i, c in enumerate(fv.NUMERIC_COLUMNS)) for k in range(classifier.K))
+    return fq.TRAIN_SQL + "," + fq.M_SQL + "," + fq.D_SQL + f",{asked}," + fq.counts_sql(
+        "asked", "qm", "message_clean", "word") + "," + fq.counts_sql("asked", "qd", "diff_text", "char") + "," \
+        + fq.weights_sql("qmw", "qm", "m_v") + "," + fq.weights_sql("qdw", "qd", "d_v") + f""",
+dot AS (SELECT commit_id, {dots} FROM (SELECT * FROM qmw UNION ALL SELECT * FROM qdw) GROUP BY commit_id),
+lg AS (SELECT commit_id, [{logits}]::DOUBLE[] AS l FROM asked LEFT JOIN dot USING (commit_id)),
+ex AS (SELECT commit_id, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM lg),
+stated AS MATERIALIZED (SELECT commit_id, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM ex)"""
+
+
+@query("mlt3_stated_model", sql(stated_sql("""
+asked AS (SELECT * FROM splits)"""), "SELECT commit_id, " + ", ".join(
+    f"round(probs[{k + 1}], 6) AS p_{c}" for k, c in enumerate(fv.TARGET_CLASSES)) + " FROM stated"))
+def mlt3_stated(spark, sf_dir):
+    df = stated_model(spark, sf_dir).probabilities(fx.splits(spark, sf_dir))
+    return df.select("commit_id", *[
+        F.round(F.col("probs")[k], 6).alias(f"p_{c}") for k, c in enumerate(fv.TARGET_CLASSES)])
+
+
+@query("hyb1_stated_verifier", sql(stated_sql("""
+asked AS (SELECT commit_id, subject AS message_clean, '' AS diff_text, 0 AS files_changed,
+  0 AS lines_added, 0 AS lines_removed FROM commits)"""), f"""
+SELECT commit_id, {NAMES}[{ARGMAX}] AS verifier_type, round(probs[{ARGMAX}], 6) AS verifier_confidence
+FROM stated"""))
+def hyb1_stated(spark, sf_dir):
+    subjects = fx.commits(spark, sf_dir).select("commit_id", "subject")
+    return rounded(stated_model(spark, sf_dir).verify(subjects, "subject"), ["verifier_confidence"])
+
+
+@query("aud1_stated_audit", sql(stated_sql("""
+asked AS (SELECT * FROM splits WHERE split <> 'train')"""), f"""
+SELECT commit_id, label, {NAMES}[{ARGMAX}] AS pred, round(probs[{ARGMAX}], 6) AS confidence
+FROM stated JOIN splits USING (commit_id) WHERE label <> {NAMES}[{ARGMAX}]"""))
+def aud1_stated(spark, sf_dir):
+    held_out = fx.splits(spark, sf_dir).filter(F.col("split") != "train")
+    audited = hybrid.audit(held_out, stated_model(spark, sf_dir).predict(held_out))
+    return rounded(audited.filter(~F.col("agrees")).drop("agrees"), ["confidence"])
+
+
+@query("mlt2_quality_floor", sql(fx.SPLIT_SQL, """
+SELECT split, count(*) AS n, true AS above_chance FROM splits WHERE split <> 'train' GROUP BY split"""))
+def mlt2_floor(spark, sf_dir):
+    """The fitted model must find more held-out labels than always naming the most frequent one."""
+    held_out = fx.splits(spark, sf_dir).filter(F.col("split") != "train")
+    predicted = fitted(spark, sf_dir).predict(held_out)
+    right = held_out.select("commit_id", "split", "label").join(predicted, "commit_id")
+    per_label = right.groupBy("split", "label").agg(
+        F.count("*").alias("n"), F.count_if(F.col("label") == F.col("pred")).alias("hits"))
+    return per_label.groupBy("split").agg(
+        F.sum("n").alias("n"), (F.sum("hits") > F.max("n")).alias("above_chance"))
+
+
 LLM_WEIGHTS = dict(zip(fx.ANSWER_MODELS, fv.ANSWER_ENSEMBLE_MEMBERS.values()))
 COMPOSED_SQL = aq.CLASSIFIED_SQL + "," + fx.MEMBER_PROBS_SQL.replace(fx.COMMITS_SQL + ",", "") + "," + soft_sql(
     SOFT_WEIGHTS) + f""",
