@@ -6,7 +6,8 @@ where the text is. The markers themselves are not features, so the weights also
 pages that lack them. Learning counts, over all labelled pages, each feature inside and
 outside the text; the features are bounded by the element names, so the sums are small.
 One linear scan then finds the contiguous region of largest sum. Elements that are never
-text (menus, forms, scripts, adverts, comments...) are cut out of the region.
+text (menus, forms, scripts, adverts, comments...) are cut out of the region, so what is
+inside them scores nothing: an advert must not part an article from its last lines.
 
 * null or empty html: empty text. Repeated rows and null page_ids: rows like others.
 * broken markup: end tags may be missing or wrong, a page may stop anywhere.
@@ -143,14 +144,12 @@ def tokens(page: str):
             stack.append(inner)
 
 
-def _features(kind: str, value: str, context: str, never: bool) -> str:
+def _features(kind: str, value: str, context: str) -> str:
     """What a score depends on; the names are bounded, unknown elements share one."""
     def known(name: str) -> str:
         return name if name in BLOCKS or name in INLINE or name in VOID or name in NEVER else "other"
 
-    if kind == "text":
-        return "word never" if never else f"word {known(context)}"
-    return f"tag {known(value)}" + (" never" if never else "")
+    return f"word {known(context)}" if kind == "text" else f"tag {known(value)}"
 
 
 def count_features(page: str) -> Counter:
@@ -162,8 +161,8 @@ def count_features(page: str) -> Counter:
             labelled = True
             continue
         n = len(value.split()) if kind == "text" else 1
-        if n:
-            out[_features(kind, value, context, never), marked and not never] += n
+        if n and not never:
+            out[_features(kind, value, context), marked] += n
     return out if labelled else Counter()
 
 
@@ -193,8 +192,6 @@ def learn_weights(pages: DataFrame) -> dict[str, float]:
 def _score(feature: str, weights: dict[str, float]) -> float:
     if feature in weights:
         return weights[feature]
-    if feature == "word never":
-        return -UNSEEN["word"]
     if feature.startswith("word"):
         return UNSEEN["word"]
     return UNSEEN["inline" if feature.split()[1] in INLINE else "block"]
@@ -205,7 +202,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     items = list(tokens(page))
     best, best_span, running, start = 0.0, (0, 0), 0.0, 0
     for k, (kind, value, context, never, _) in enumerate(items):
-        score = _score(_features(kind, value, context, never), weights)
+        score = 0.0 if never else _score(_features(kind, value, context), weights)
         if kind == "text":
             score *= len(value.split())
         if running <= 0:
