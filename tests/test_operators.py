@@ -69,11 +69,15 @@ def test_samples(spark, labelled):
     some = sampling.balanced_subsample(df, 150).groupBy("label").count().collect()
     assert {r.label: r["count"] for r in some} == {c: min(150, sizes[c]) for c in CLASSES}
     share = sampling.proportional_sample(df, 600).groupBy("label").count().collect()
-    assert {r.label: r["count"] for r in share} == {c: -(-sizes[c] * 600 // 3000) for c in sizes}
+    whole = {c: n * 600 // 3000 for c, n in sizes.items()}
+    by_rest = sorted(sizes, key=lambda c: (-(sizes[c] * 600 % 3000), c))
+    spare = by_rest[:600 - sum(whole.values())]
+    assert {r.label: r["count"] for r in share} == {c: whole[c] + (c in spare) for c in sizes}
+    assert sampling.proportional_sample(df, 10).count() == 10
     assert sampling.proportional_sample(df, 5000).count() == 3000
     assert sampling.evaluation_sample(df, 3).count() == 5
-    assert [r.commit_id for r in sampling.natural_sample(df, 5).collect()] == sorted(
-        (i for i, _ in rows), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())[:5]
+    assert sorted(r.commit_id for r in sampling.natural_sample(df, 5).collect()) == sorted(sorted(
+        (i for i, _ in rows), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())[:5])
 
 
 def test_threshold_ties_and_tiny_groups(spark):
@@ -257,7 +261,8 @@ def test_class_weights_and_histogram(spark, labelled):
 
 def test_against_baseline_gap(spark):
     runs = spark.createDataFrame([("a", "x", 0.5), ("b", "y", 0.6)], "model string, strategy string, accuracy double")
-    row = leaderboards.against_baseline(runs).collect()
+    stored = spark.createDataFrame([(0.7093, 0.6, 0.6)], "accuracy double, macro_f1 double, weighted_f1 double")
+    row = leaderboards.against_baseline(runs, leaderboards.baseline_of(stored, "s")).collect()
     assert [(r.model, r.beats, r.gap_points) for r in row] == [("b", False, 10.9)]
 
 

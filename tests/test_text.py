@@ -22,7 +22,7 @@ TYPES = [
 PREFIXES = [
     ("feat: add login", "add login"), ("fix(auth): handle null", "handle null"),
     ("docs: README\n\nbody text", "README\n\nbody text"), ("just a sentence", "just a sentence"),
-    ("feat: " + "x" * 1000, "x" * 500), (None, ""), ("", ""), ("  \n ", ""),
+    ("feat: " + "x" * 1000, "x" * 1000), (None, ""), ("", ""), ("  \n ", ""),
     ("fix: a\r\nb\u000bc\u0085d", "a\nb\nc\nd"), ("feat: \U0001f600" * 200, None),
     ("docs: trailing  \n\n", "trailing"), ("no prefix\nfix: second", "no prefix\nfix: second"),
 ]
@@ -34,7 +34,7 @@ def plain_strip_prefix(message):
     first, *rest = message.strip().splitlines()
     words = "|".join(fv.COMMIT_TYPES)
     m = re.match(rf"(?is)\s*(?:{words})(?:\([^)]*\))?!?\s*:\s*(.+)", first)
-    return "\n".join([m.group(1).strip() if m else first, *rest]).strip()[:500]
+    return "\n".join([m.group(1).strip() if m else first, *rest]).strip()
 
 
 def test_commit_type(spark):
@@ -53,10 +53,14 @@ def test_strip_prefix(spark):
     got = [r[0] for r in df.select(tx.strip_prefix(F.col("m"))).collect()]
     for (message, want), out in zip(PREFIXES, got):
         assert out == (plain_strip_prefix(message) if want is None else want)
-        assert len(out) <= 500
         assert out == plain_strip_prefix(message)
 
 
+def test_a_limit_is_an_argument(spark):
+    df = spark.createDataFrame([("feat: " + "x" * 1000,)], "m string")
+    assert df.select(tx.strip_prefix(F.col("m"), 500)).first()[0] == "x" * 500
+
+
 def test_lines_match_python(spark):
     texts = ["", "a", "a\n", "a\n\nb", "\n", "a\r\nb\rc", "x\u001cy\u001ez", "p q\u0085"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -73,7 +77,9 @@ def test_diff_statistics(spark):
     rows = df.select(diff_stats(F.col("d")).alias("s")).select("s.*").collect()
     counts = [(r.files_changed, r.lines_added, r.lines_removed) for r in rows]
     assert counts == [(1, 2, 1), (0, 0, 0), (1, 3002, 1), (1, 0, 0), (1, 1, 0)]
-    assert len(rows[2].diff_text) == 4000 and rows[0].diff_text == DIFF
+    assert rows[2].diff_text == long and rows[0].diff_text == DIFF
+    cut = df.select(diff_stats(F.col("d"), 4000)["diff_text"]).collect()
+    assert len(cut[2][0]) == 4000 and cut[0][0] == DIFF
 
 
 def test_list_of_files(spark):
