@@ -85,9 +85,14 @@ def truncate(text: Column, limit: int) -> Column:
     )
 
 
+def _utc(ts: Column) -> Column:
+    """A time that the session's zone shows as UTC does."""
+    return F.to_utc_timestamp(ts, F.current_timezone())
+
+
 def iso_seconds(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.date_format(_utc(ts), "yyyy-MM-dd'T'HH:mm:ss")
 
 
 def day(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    return F.date_format(_utc(ts), "yyyy-MM-dd")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -182,5 +182,10 @@ class TextClassifier:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TextClassifier:
+        """The model as saved. Its terms are copied, so it can be saved over the same folder."""
         stored = spark.read.parquet(f"{path}/parameters").first()["parameters"]
-        return cls(spark.read.parquet(f"{path}/terms"), Parameters(**json.loads(stored)))
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/mllib")
+        files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        mllib_model = LogisticRegressionModel.load(f"{path}/mllib") if files.exists(target) else None
+        terms = materialise(spark.read.parquet(f"{path}/terms"), "fitted-terms")
+        return cls(terms, Parameters(**json.loads(stored)), mllib_model)

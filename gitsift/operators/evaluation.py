@@ -45,15 +45,25 @@ def exact_percentiles(
     upto = F.sum("c").over(Window.partitionBy(*keys, "i").orderBy("zone", "inside"))
     position = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, points)), F.col("i") + 1)
     ranked = grouped.select(
-        *keys, "i", position.alias("h"), upto.alias("upto"), (upto - F.col("c")).alias("before"),
+        *keys, "i", "zone", position.alias("h"), upto.alias("upto"), (upto - F.col("c")).alias("before"),
         F.when(F.col("zone") == 0, F.col("last")).otherwise(F.col("first")).alias("v"))
 
     def at(rank: Column) -> Column:
         inside = (rank + 1 > F.col("before")) & (rank + 1 <= F.col("upto"))
         return F.max(F.when(inside, F.col("v")))
 
+    def missed(rank: Column) -> Column:
+        """A rank deeper in an outer zone than its value next to the bracket, which is exact."""
+        inside = (rank + 1 > F.col("before")) & (rank + 1 <= F.col("upto"))
+        deeper = ((F.col("zone") == 0) & (rank + 1 < F.col("upto"))) | (
+            (F.col("zone") == 2) & (rank > F.col("before")))
+        return F.bool_or(inside & deeper)
+
     lower, upper = F.floor("h"), F.ceil("h")
-    found = ranked.groupBy(*keys, "i", "h").agg(at(lower).alias("a"), at(upper).alias("b"))
+    found = ranked.groupBy(*keys, "i", "h").agg(
+        at(lower).alias("a"), at(upper).alias("b"), (missed(lower) | missed(upper)).alias("missed"))
+    wrong = F.raise_error(F.lit("a percentile lies outside its bracket; give a larger sketch"))
+    found = found.withColumn("a", F.when(F.col("missed"), wrong.cast("double")).otherwise(F.col("a")))
     result = F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))
     pairs = F.sort_array(F.collect_list(F.struct(F.col("i"), result.alias("p"))))
     return found.groupBy(*keys).agg(F.transform(pairs, lambda s: s["p"]).alias("percentiles"))

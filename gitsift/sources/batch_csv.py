@@ -11,9 +11,13 @@ from gitsift.functions.probabilities import as_json
 from gitsift.operators.scoring import Scorer, score
 
 
-def read_commits(spark: SparkSession, path: str) -> DataFrame:
-    """``message`` and optional ``diff`` (else ``""``) of a CSV, each row with an id."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"',
+def read_commits(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``message`` and optional ``diff`` (else ``""``) of a CSV, each row with an id.
+
+    With ``multi_line`` texts may hold line breaks, and a file is one task; without,
+    Spark splits large files.
+    """
+    raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"',
                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     columns = [F.coalesce(F.col(c), F.lit("")).alias(c) if c in raw.columns else F.lit("").alias(c)
                for c in ("message", "diff")]
@@ -24,13 +28,14 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def score_csv(
-    spark: SparkSession, path: str, model: str, scorers: Mapping[str, Scorer], out: str
+    spark: SparkSession, path: str, model: str, scorers: Mapping[str, Scorer], out: str,
+    multi_line: bool = True,
 ) -> None:
     """CSV in, CSV out: message, predicted label, confidence (4 decimals), probabilities (JSON).
 
     Rows with equal text get equal answers, so each text is scored once.
     """
-    rows = read_commits(spark, path)
+    rows = read_commits(spark, path, multi_line)
     scored = score(rows.dropDuplicates(["commit_id"]), model, scorers)
     result = rows.select("commit_id", "message").join(scored, "commit_id").select(
         "message", F.col("label").alias("predicted_label"),

@@ -105,3 +105,17 @@ def test_composed_scorers(spark):
     both = scoring.answer_ensemble_scorer(answers, members["a"], {"x": 0.6}, 0.7, 2.0)(df)
     shares = {r.commit_id: [round(p, 3) for p in r.probs] for r in both.collect()}
     assert shares[1] == [0.7, 0.0, 0.3, 0.0, 0.0] and shares[2] == [0.0, 0.3, 0.0, 0.0, 0.7]
+
+
+def test_times_are_shown_in_utc_whatever_the_session_zone(spark):
+    from gitsift.functions.text import day, iso_seconds
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            ts = F.timestamp_seconds(F.lit(1704067200))
+            row = spark.range(1).select(iso_seconds(ts).alias("a"), day(ts).alias("b")).first()
+            assert (row.a, row.b) == ("2024-01-01T00:00:00", "2024-01-01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
