@@ -27,18 +27,23 @@ from gitsift.llm.windows import Windows, repeated
 
 LENGTH = 200
 GRAM = 32
+#: Bytes in a first sort key, nine bits each.
+PACKED = 4
 
 
-def suffix_order(symbols: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(symbols: np.ndarray, end: np.ndarray, depth: int,
+                 packed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in order of their first ``depth`` symbols, and what each shares with the one before.
 
-    Each suffix stops at its ``end``. Shared symbols are exact below ``depth``.
+    Each suffix stops at its ``end``. Shared symbols are exact below ``depth``. A symbol
+    may stand for the next ``packed`` symbols, a power of two; then shared symbols are
+    multiples of it. It must tell what ends within it from what goes on.
     """
     n = len(symbols)
     rank = np.empty(n, np.int64)
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols)
     moving, keys, places = order, symbols[order], np.arange(n)
-    levels, width = [], 1
+    levels, width = [], packed
     while True:
         new = np.ones(len(moving), dtype=bool)
         new[1:] = keys[1:] != keys[:-1]
@@ -53,7 +58,7 @@ def suffix_order(symbols: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.n
         ahead = moving + width
         second = np.where(ahead < end[moving], rank[np.minimum(ahead, n - 1)] + 1, 0)
         keys = rank[moving] * (n + 1) + second
-        by = np.argsort(keys, kind="stable")
+        by = np.argsort(keys)
         moving, keys = moving[by], keys[by]
         order[places] = moving
         width *= 2
@@ -61,7 +66,7 @@ def suffix_order(symbols: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.n
     left, right = order[:-1].copy(), order[1:].copy()
     left_end, right_end = end[left], end[right]
     for level in range(len(levels) - 1, -1, -1):
-        step = 1 << level
+        step = packed << level
         at = np.flatnonzero((left + step <= left_end) & (right + step <= right_end))
         at = at[levels[level][left[at]] == levels[level][right[at]]]
         shared[at + 1] += step
@@ -105,8 +110,15 @@ def compare(contents: list[np.ndarray], windows: np.ndarray, copies: np.ndarray,
     """Which windows of each region occur again, and which in an earlier region."""
     sizes = np.array([len(c) for c in contents])
     ends = np.cumsum(sizes)
-    symbols = np.concatenate(contents).astype(np.int64)
-    order, shared = suffix_order(symbols, np.repeat(ends, sizes), kind.length)
+    end = np.repeat(ends, sizes)
+    # Some bytes are one number, if the length is whole in them: rounds less. What lies
+    # behind a region's end is less than any byte.
+    packed = PACKED if kind.length % PACKED == 0 else 1
+    one = np.concatenate([*contents, np.zeros(packed, np.uint8)]).astype(np.int64) + 1
+    place, symbols = np.arange(len(end)), np.zeros(len(end), np.int64)
+    for k in range(packed):
+        symbols = symbols << 9 | np.where(place + k < end, one[k:k + len(end)], 0)
+    order, shared = suffix_order(symbols, end, kind.length, packed)
     previous = longest_previous(order, shared)
     neighbour = np.empty(len(order), np.int64)
     neighbour[order] = np.maximum(shared, np.concatenate((shared[1:], [0])))

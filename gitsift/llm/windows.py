@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gitsift.llm.common import map_batches, spans_of, text_key
-from gitsift.session import materialise, measured
+from gitsift.session import materialise
 
 #: Different regions of one key that a task compares by itself.
 MAX_REGIONS = 4096
@@ -191,8 +191,10 @@ def _compared(regions: DataFrame, kind: Windows, compare: Compare) -> DataFrame:
                 if size > kind.group_bytes and row["key"] != held[-1]["key"]:
                     yield result(held)
                     held, size = [], 0
-                held.append(row)
-                size += len(row["content"])
+                # A region comes twice from repeated rows of its document.
+                if not held or (row["key"], row["region"]) != (held[-1]["key"], held[-1]["region"]):
+                    held.append(row)
+                    size += len(row["content"])
         if held:
             yield result(held)
 
@@ -222,9 +224,11 @@ def _counted(regions: DataFrame, kind: Windows) -> DataFrame:
     windows = map_batches(regions, digests, "key long, region long, copies long, doc_id long, "
                                             "start int, offset int, digest binary")
     place = F.struct("doc_id", (F.col("start") + F.col("offset")).alias("place"))
-    total = windows.groupBy("digest").agg(F.sum("copies").alias("copies"), F.min(place).alias("first"))
+    own = F.xxhash64("region", "offset")  # the same for repeated rows of one document
+    total = windows.groupBy("digest").agg(
+        F.max("copies").alias("copies"), F.min(own).alias("low"), F.max(own).alias("high"), F.min(place).alias("first"))
     again = (windows.withColumn("own", place).drop("copies")
-             .join(total.filter("copies > 1"), "digest")
+             .join(total.filter("copies > 1 OR low < high").select("digest", "first"), "digest")
              .groupBy("key", "region").agg(
                  F.collect_list("offset").alias("again"),
                  F.collect_list(F.when(F.col("own") != F.col("first"), F.col("offset"))).alias("later")))
@@ -248,39 +252,41 @@ def repeated(df: DataFrame, docs: DataFrame, kind: Windows, compare: Compare, ke
     """
     if keep not in ("none", "first"):
         raise ValueError(f"keep is none or first, not {keep}")
-    place = F.struct("doc_id", "start", "row", "n")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b")))
     rows = materialise(run_rows(df, kind), "runs")
-    # The first and the last place of a key differ unless repeated rows of one document made it.
-    keys = rows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"),
-                                   F.min("region").alias("low"), F.max("region").alias("high"))
-    keys = keys.filter("first <> last").select(
-        "key", (F.col("low") != F.col("high")).alias("differ"), "first")
-    found = materialise(rows.join(keys, "key"), "repeated").distinct()
-    equal = found.filter("NOT differ")
-    if keep == "first":
-        equal = equal.filter(place != F.col("first"))
-    equal = equal.select("doc_id", "row", "start", whole.alias("spans"))
+    # Counting moves the keys alone; most occur once and are gone then.
+    twice = rows.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
+    found = materialise(rows.join(twice, "key"), "repeated")
 
-    differ = found.filter("differ").drop("first")
-    classes = differ.groupBy("key", "region").agg(F.count("*").alias("copies"), F.min(place).alias("first"))
+    # Each different region once. Places are told apart by a digest, so repeated rows of a
+    # document count once; whether there are two places or more is all that matters.
+    place = F.struct("doc_id", "start", "row", "n")
+    digest = F.xxhash64("doc_id", "row", "start")
+    if keep == "first":
+        one = [F.min(place).alias("first")]
+    else:  # any place will do
+        one = [F.struct(*[F.first(c).alias(c) for c in ("doc_id", "start", "row", "n")]).alias("first")]
+    classes = found.groupBy("key", "region").agg(
+        *one, F.when(F.min(digest) < F.max(digest), 2).otherwise(1).cast("long").alias("copies"))
     classes = materialise(classes, "classes")
-    hot = measured(classes.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MAX_REGIONS)
-                   .select("key", F.lit(True).alias("hot")), "hot")
-    wanted = classes.join(hot, "key", "left").select(
-        "key", "region", "copies", "first.*", F.coalesce("hot", F.lit(False)).alias("hot"))
-    regions = _regions(docs, wanted, kind)
-    results = _compared(regions.filter("NOT hot"), kind, compare).unionByName(
-        _counted(regions.filter("hot"), kind))
-    settled = results.join(classes, ["key", "region"])
+    regions = classes.groupBy("key").agg(F.count("*").alias("regions")).filter("regions > 1")
+    alone = classes.join(regions, "key", "left_anti").filter("copies > 1")
+    differ = classes.join(regions, "key")
+    wanted = differ.select("key", "region", "copies", "first.*",
+                           (F.col("regions") > MAX_REGIONS).alias("hot"))
+    fetched = _regions(docs, wanted, kind)
+    results = _compared(fetched.filter("NOT hot"), kind, compare).unionByName(
+        _counted(fetched.filter("hot"), kind))
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    settled = results.join(differ.select("key", "region", "copies", "first"), ["key", "region"]).unionByName(
+        alone.select("key", "region", none.alias("again"), none.alias("later"), "copies", "first"))
     if keep == "none":
+        settled = settled.select("key", "region", "copies", "again")
         spans = F.when(F.col("copies") > 1, whole).otherwise(F.col("again"))
     else:
-        spans = F.when(F.col("own") != F.col("first"), whole).otherwise(F.col("later"))
-    mixed_spans = (differ.withColumn("own", place).join(settled, ["key", "region"])
-                   .select("doc_id", "row", "start", spans.alias("spans")))
-    return (equal.unionByName(mixed_spans)
-            .select("doc_id", "row", "start", F.explode("spans").alias("span"))
-            .groupBy("doc_id", "row").agg(F.collect_list(F.struct(
+        spans = F.when(place != F.col("first"), whole).otherwise(F.col("later"))
+    return (found.join(settled, ["key", "region"])
+            .select("doc_id", "row", "start", F.explode(spans).alias("span"))
+            .groupBy("doc_id", "row").agg(F.collect_set(F.struct(
                 (F.col("start") + F.col("span.a")).alias("a"),
                 (F.col("start") + F.col("span.b")).alias("b"))).alias("spans")))
