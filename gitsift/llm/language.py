@@ -226,6 +226,8 @@ def train(rows: DataFrame, max_training_rows: int = MAX_TRAINING_ROWS) -> Langua
     one = (map_batches(sample, sparse, "order long, language long, used binary, counts binary")
            .repartition(1).sortWithinPartitions("order", "language", "used", "counts"))
     found = one.mapInArrow(fit, "weights binary, temperature double").first()
+    if found is None:  # no text of the sample has a letter
+        return model
     model.weights = np.frombuffer(found.weights, dtype="<f8").reshape(BUCKETS + 1, len(languages))
     model.temperature = found.temperature
     return model

@@ -140,6 +140,8 @@ def test_language_without_letters_or_labels(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(df, language.train(df)).collect()}
     assert found[3] == found[4] == ("und", 0.0) and found[1][0] == "en" and found[2][0] == "fr"
+    digits = language.train(df.filter("doc_id = 1").withColumn("text", df["doc_id"].cast("string")))
+    assert digits.languages == ["en"] and digits.predict("a")[0] == "en" and digits.predict("1")[0] == "und"
     nothing = language.train(df.filter("lang = 'xx'"))
     assert {r.lang_pred for r in language.predict(df, nothing).collect()} == {"und"}
     assert language.predict(df.limit(0), nothing).count() == 0
