@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: What counts as white space in the word and line contracts, as a character class body.
@@ -66,3 +66,9 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     np.add.at(steps, starts, 1)
     np.add.at(steps, ends, -1)
     return np.cumsum(steps[:n]) > 0
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Removes a table that this library wrote to its work folder, once nothing reads it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

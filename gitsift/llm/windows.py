@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gitsift.llm.common import map_batches, spans_of, text_key
-from gitsift.session import materialise
+from gitsift.llm.common import drop_table, map_batches, spans_of, text_key
+from gitsift.session import materialise, new_path
 
 #: Different regions of one key that a task compares by itself.
 MAX_REGIONS = 4096
@@ -253,10 +253,14 @@ def repeated(df: DataFrame, docs: DataFrame, kind: Windows, compare: Compare, ke
     if keep not in ("none", "first"):
         raise ValueError(f"keep is none or first, not {keep}")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b")))
-    rows = materialise(run_rows(df, kind), "runs")
+    spark = df.sparkSession
+    path = new_path(spark, "runs")
+    run_rows(df, kind).write.parquet(path)
+    rows = spark.read.parquet(path)
     # Counting moves the keys alone; most occur once and are gone then.
     twice = rows.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key")
     found = materialise(rows.join(twice, "key"), "repeated")
+    drop_table(spark, path)  # nothing reads the runs again, and they are most of the disk
 
     # Each different region once. Places are told apart by a digest, so repeated rows of a
     # document count once; whether there are two places or more is all that matters.
