@@ -328,15 +328,9 @@ def hyb1(spark, sf_dir):
     return rounded(df, ["verifier_confidence"])
 
 
-def one_run(spark, sf_dir):
-    """The answers of one model under one strategy."""
-    answers = fx.responses(spark, sf_dir)
-    return answers.filter((F.col("model") == fx.ANSWER_MODELS[0]) & (F.col("strategy") == "few_shot"))
-
-
 def hybrid_shown(df):
     return df.select(
-        "commit_id", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"),
+        "commit_id", "model", "strategy", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"),
         F.coalesce(F.size("examples"), F.lit(0)).alias("n_examples"), "parsed_type", "verifier_type",
         F.round("verifier_confidence", 6).alias("verifier_confidence"), "final_type", "type_changed",
         "final_message")
@@ -344,9 +338,9 @@ def hybrid_shown(df):
 
 @query("hyb2_hybrid_generation")
 def hyb2_full(spark, sf_dir):
-    """Test commits: retrieved examples, prompts, answers, verifier, final message."""
+    """Test commits: retrieved examples, prompts, the answers of every run, verifier, final message."""
     return hybrid_shown(hybrid.hybrid(
-        part(spark, sf_dir, "test"), fq.train_of(spark, sf_dir), one_run(spark, sf_dir),
+        part(spark, sf_dir, "test"), fq.train_of(spark, sf_dir), fx.responses(spark, sf_dir),
         fq.fitted_terms(spark, sf_dir), fitted(spark, sf_dir),
         corpus_vectors=fq.corpus_vectors(spark, sf_dir)))
 
@@ -357,7 +351,7 @@ def hyb3(spark, sf_dir):
     raw = fx.multi_file_commits(spark, sf_dir)
     commits = scoring.prepare(raw).select("commit_id", "diff_text")
     return hybrid_shown(hybrid.hybrid(
-        commits, fq.train_of(spark, sf_dir), one_run(spark, sf_dir), fq.fitted_terms(spark, sf_dir),
+        commits, fq.train_of(spark, sf_dir), fx.responses(spark, sf_dir), fq.fitted_terms(spark, sf_dir),
         fitted(spark, sf_dir), corpus_vectors=fq.corpus_vectors(spark, sf_dir)))
 
 
