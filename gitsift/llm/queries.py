@@ -10,8 +10,11 @@ from gitsift.llm import (
     automaton_dedup,
     bpe,
     decontam,
+    hard_negatives,
     language,
     lines,
+    lloyd,
+    packing,
     page_text,
     quality,
     sharding,
@@ -152,3 +155,92 @@ def op10_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard",
                         F.col("slot").cast("long").alias("slot"),
                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+@query
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score a little below each of an anchor's positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id"), label,
+                               F.col("embedding"), F.col("vec_id") % 100 == 0)
+
+
+CHECK_SQL["op11_hard_negative_mining"] = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same,
+    CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM vectors a JOIN vectors r ON len(a.q) = len(r.q) AND a.vec_id <> r.vec_id
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, row_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+    ORDER BY s.score DESC, s.row_id) AS INTEGER) AS rank,
+  s.row_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces and their places in sequences of 2,048 tokens."""
+    pieces = packing.cut(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(digests).drop("part", "place")
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds, with inertias and the centroid's digest."""
+    found, centroids = lloyd.cluster(table(spark, sf_dir, "embeddings"), F.col("vec_id"), F.col("embedding"))
+    return lloyd.with_digests(found, centroids).withColumnRenamed("id", "vec_id")
+
+
+def _lloyd_sql(rounds: int) -> str:
+    nearest = """
+near{r} AS (
+  SELECT id, c AS cluster, d AS distance FROM (
+    SELECT x.id, m.c, CAST(sum((x.v - m.v) * (x.v - m.v)) AS BIGINT) AS d
+    FROM components x JOIN means{r} m ON x.k = m.k GROUP BY x.id, m.c)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, c) = 1)"""
+    means = """
+means{n} AS (
+  SELECT m.c, m.k, coalesce(u.v, m.v) AS v FROM means{r} m LEFT JOIN (
+    SELECT n.cluster AS c, x.k, CAST(floor(sum(x.v) / count(*)) AS BIGINT) AS v
+    FROM near{r} n JOIN components x ON n.id = x.id GROUP BY n.cluster, x.k) u
+  ON m.c = u.c AND m.k = u.k)"""
+    steps = [nearest.format(r=r) + "," + means.format(r=r, n=r + 1) for r in range(rounds)]
+    return """
+WITH kept AS (
+  SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+components AS (
+  SELECT id, unnest(range(64)) AS k,
+    unnest(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM kept),
+firsts AS (
+  SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id), embedding) - 1 AS c FROM kept
+  QUALIFY c < 16),
+means0 AS (SELECT f.c, x.k, x.v FROM firsts f JOIN components x ON f.id = x.id),""" + ",".join(steps) + f"""
+,{nearest.format(r=rounds)},
+digests AS (
+  SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY k)) AS centroid_sha256
+  FROM means{rounds} GROUP BY c)
+SELECT k.vec_id, CAST(n.cluster AS INTEGER) AS cluster, n.distance,
+  CAST(sum(n.distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(n.distance) OVER () AS BIGINT) AS inertia, d.centroid_sha256
+FROM near{rounds} n JOIN kept k ON n.id = k.id JOIN digests d ON n.cluster = d.c
+"""
+
+
+CHECK_SQL["op13_centroid_clustering"] = _lloyd_sql(3)
