@@ -26,6 +26,7 @@ after ``NODES`` branches or ``LOOKS`` times as many fillings, where the best inc
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -37,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gitsift.llm.bpe import Remembered, byte_characters
 from gitsift.llm.common import texts_of
 from gitsift.session import materialise, measured
 
@@ -46,14 +48,23 @@ NODES = 3_000
 LOOKS = 10
 #: A tokenizer file up to this size is sent to the tasks.
 MAX_TOKENIZER_BYTES = 64 << 20
-#: Distinct words, and parts of words, whose ids a worker remembers.
-CACHE_WORDS = 1 << 18
-CACHE_PARTS = 1 << 19
-#: Parts are encoded in calls of this many.
-PARTS_PER_CALL = 4096
+#: Distinct words, and letters of words, whose ids a worker remembers, young and old.
+CACHE_WORDS = 1 << 17
+CACHE_PARTS = 1 << 18
 #: Letters of ASCII or Latin-1, then marks other than the apostrophe that begins a contraction.
 _LETTERS_MARKS = re.compile(
-    rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
+    rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+# The normaliser and the splitter of a tokenizer whose texts may be taken word by word.
+_STEPS = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {
+            "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+)
 
 #: Pieces of a sequence as (length, how many), largest first, and how many sequences are so.
 Filling = tuple[tuple[int, int], ...]
@@ -244,51 +255,45 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
 # --- pieces and their places ------------------------------------------------------------
 
 
-class _Words(dict):
-    """Packed ids by white-space separated word; forgets all when full.
+class _Words:
+    """Packed ids of texts by the library, word by word where its pipeline allows that.
 
-    Plain letters and the marks after them are pieces to the library in any case, so a word
-    of both is put together from the ids of its two parts, which recur far more often.
+    A pipeline of ``_STEPS`` normalises nothing across white space, and none of its pieces
+    holds any, so the ids of a text are those of its words. Plain letters and the marks
+    after them are pieces of their own, and what it does to plain letters before the merges
+    is to lower them and to name their bytes; so the library's merges are called directly.
     """
 
     def __init__(self, tokenizer: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
-        self._parts: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self) + len(words) > CACHE_WORDS:
-            self.clear()
-        split = [m.groups() if (m := _LETTERS_MARKS.fullmatch(w)) else (w,) for w in words]
-        new = list({part for parts in split for part in parts if part not in self._parts})
-        if len(self._parts) + len(new) > CACHE_PARTS:
-            self._parts.clear()
-            new = list({part for parts in split for part in parts})
-        for at in range(0, len(new), PARTS_PER_CALL):
-            some = new[at:at + PARTS_PER_CALL]
-            found = self._tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False)
-            self._parts.update((x, array("I", e.ids).tobytes()) for x, e in zip(some, found))
-        known = self._parts
-        for word, parts in zip(words, split):
-            self[word] = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
+        self._merges = self._tokenizer.model
+        self._letters = dict(enumerate(byte_characters()))
+        stated = json.loads(tokenizer)
+        self._by_words = (stated["normalizer"], stated["pre_tokenizer"]) == _STEPS
+        self._known = Remembered(self._word, CACHE_WORDS)
+        self._parts = Remembered(self._part, CACHE_PARTS)
+
+    def _encode(self, text: bytes) -> bytes:
+        return array("I", self._tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _part(self, letters: bytes) -> bytes:
+        named = letters.decode().lower().encode().decode("latin-1").translate(self._letters)
+        return array("I", [token.id for token in self._merges.tokenize(named)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        split = _LETTERS_MARKS.fullmatch(word)
+        if split is None:
+            return self._encode(word)
+        letters, marks = split.groups()
+        return self._parts[letters] + self._known[marks] if marks else self._parts[letters]
 
     def pack(self, text: bytes) -> bytes:
-        """The library's ids of the whole text.
-
-        Its pieces never hold white space, and its normaliser changes nothing across it,
-        so the ids of a text are those of its words.
-        """
-        words = text.split()
-        new = [w for w in set(words) if w not in self]
-        if new:
-            before = len(self)
-            self._learn(new)
-            if len(self) < before:  # it has forgotten words of this text too
-                self._learn([w for w in set(words) if w not in self])
-        return b"".join(map(self.__getitem__, words))
+        if not self._by_words:
+            return self._encode(text)
+        return b"".join(map(self._known.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
