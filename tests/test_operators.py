@@ -214,7 +214,7 @@ def test_token_sequences(spark):
 
 @pytest.mark.parametrize("entries", [10**6, 40])
 def test_nearest_matches_brute_force(spark, entries):
-    """Once with all queries in one group, once in many; copies tie and go by lower id."""
+    """Once with the corpus in few buckets, once in many; copies tie and go by lower id."""
     rng = np.random.default_rng(0)
 
     def unit(i):
@@ -228,7 +228,7 @@ def test_nearest_matches_brute_force(spark, entries):
     schema = "commit_id long, idx array<int>, weight array<double>"
     got = retrieval.nearest(
         spark.createDataFrame(queries, schema), spark.createDataFrame(corpus_rows, schema).repartition(5),
-        40, 3, group_entries=entries).collect()
+        40, 3, bucket_entries=entries).collect()
     found = {}
     for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
         found.setdefault(r.query_id, []).append((r.id, round(r.score, 6)))
