@@ -138,12 +138,12 @@ CLASS_INDEX = (
 )
 
 
-def clean_sql(keep: str = f"label IN {TARGETS}") -> str:
-    return COMMITS_SQL + f""",
+def clean_sql(keep: str = f"label IN {TARGETS}", tables: str = COMMITS_SQL, source: str = "commits") -> str:
+    return tables + f""",
 parsed AS (
   SELECT *, regexp_replace(trim(message, {WS}), {NL}, chr(10), 'g') AS norm,
     split_part(regexp_replace(trim(message, {WS}), {NL}, chr(10), 'g'), chr(10), 1) AS head,
-    coalesce(diff, '') AS full_diff FROM commits),
+    coalesce(diff, '') AS full_diff FROM {source}),
 parsed2 AS (
   SELECT *, nullif(lower(regexp_extract(head, {PREFIX}, 1)), '') AS label,
     trim(CASE WHEN regexp_matches(head, {PREFIX})

@@ -28,10 +28,13 @@ def models_of(spark, sf_dir):
     return measured(history.add_missing_models(history.empty_models(spark), used), "models")
 
 
-def predictions_of(spark, sf_dir):
-    scored = fx.scored_events(spark, sf_dir).withColumnRenamed("event_id", "id").withColumn(
+def scored_of(spark, sf_dir):
+    return fx.scored_events(spark, sf_dir).withColumnRenamed("event_id", "id").withColumn(
         "probabilities", pr.as_map(F.col("probs")))
-    return history.prediction_rows(scored, models_of(spark, sf_dir))
+
+
+def predictions_of(spark, sf_dir):
+    return history.prediction_rows(scored_of(spark, sf_dir), models_of(spark, sf_dir))
 
 
 @query("src15_prediction_log", sql(MODELS_SQL, """
@@ -39,11 +42,14 @@ SELECT id, ts, model_id, batch_run_id, message_preview, diff_preview, predicted_
   CASE WHEN predicted_label = 'fix' THEN confidence ELSE round((1 - confidence) / 4, 8) END AS p_fix,
   source FROM predictions"""))
 def src15(spark, sf_dir):
-    """Appended in two batches that overlap; the overlap is not logged twice."""
-    rows, path = predictions_of(spark, sf_dir), new_path(spark, "log")
-    history.append_new_predictions(rows.filter(F.col("source") != "gui"), path)
-    history.append_new_predictions(rows, path)
-    log = spark.read.schema(rows.schema).parquet(path)
+    """Logged by two writers whose rows overlap, one of which is run again; no id is there twice."""
+    scored = scored_of(spark, sf_dir)
+    registry, path = new_path(spark, "registry"), new_path(spark, "log")
+    history.Log(registry, path, "all").write(scored)
+    again = history.Log(registry, path, "some")
+    for _ in range(2):
+        again.write(scored.filter(F.col("source") != "gui"))
+    log = history.read_log(spark, path)
     return log.withColumn("p_fix", F.round(F.col("probabilities")["fix"], 8)).drop("probabilities")
 
 
@@ -98,11 +104,13 @@ new AS (SELECT (SELECT max(model_id) FROM old) + row_number() OVER (ORDER BY min
 SELECT CAST(model_id AS INTEGER) AS model_id, name, '0.1.0' AS version FROM old
 UNION ALL SELECT CAST(model_id AS INTEGER), name, '0.1.0' FROM new"""))
 def joi9(spark, sf_dir):
-    """Some names are registered already and keep their ids; the others follow."""
+    """Some names are stored already and keep their ids; the others follow and are stored too."""
     used = fx.scored_events(spark, sf_dir)
     early = used.filter((F.col("source") == "cli") & ~F.col("model").contains("l"))
-    old = history.add_missing_models(history.empty_models(spark), early)
-    return history.add_missing_models(old, used).select("model_id", "name", "version")
+    registry = new_path(spark, "registry")
+    history.registered(early, registry)
+    history.registered(used, registry)
+    return history.read_models(spark, registry).select("model_id", "name", "version")
 
 
 @query("joi10_upsert_metrics", sql(MODELS_SQL, """,
@@ -139,16 +147,15 @@ SELECT commit_id AS id, 1 AS model_id, {NAMES}[{ARGMAX}] AS predicted_label,
 def stm1(spark, sf_dir):
     """Commits arrive in files and are scored into the log; a replay adds nothing."""
     commits = fx.commits(spark, sf_dir).select("commit_id", "ts", "message", "diff")
-    arrivals, log = new_path(spark, "arrivals"), new_path(spark, "stream-log")
+    arrivals = new_path(spark, "arrivals")
+    log = history.Log(new_path(spark, "registry"), new_path(spark, "stream-log"), "stream")
     commits.repartition(4).write.parquet(arrivals)
-    models = measured(history.add_missing_models(
-        history.empty_models(spark), commits.select(F.lit("cnn_text").alias("model"), "ts")), "models")
     stream = spark.readStream.schema(commits.schema).option("maxFilesPerTrigger", 2).parquet(arrivals)
     for attempt in range(2):
         checkpoint = new_path(spark, f"stream-checkpoint-{attempt}")
         streaming.score_stream(
-            stream, "cnn_text", outside_scorers(), models, log, checkpoint).awaitTermination()
-    return spark.read.parquet(log).select(
+            stream, "cnn_text", outside_scorers(), log, checkpoint).awaitTermination()
+    return history.read_log(spark, log.path).select(
         "id", "model_id", "predicted_label", F.round("confidence", 6).alias("confidence"),
         "message_preview", "source")
 

@@ -27,7 +27,7 @@ from gitsift.plans.registry import query
 from gitsift.plans.registry import with_tables as sql
 from gitsift.plans.voting_queries import ARGMAX, AVERAGES, NAMES, SOFT_WEIGHTS, rounded, soft_sql
 from gitsift.session import materialise, new_path
-from gitsift.sources import batch_csv, corpus, repository
+from gitsift.sources import batch_csv, corpus, history, repository
 
 _MODELS: dict[tuple[str, str], classifier.TextClassifier] = {}
 
@@ -220,14 +220,18 @@ def outside_model(rows):
     return raised / raised.sum(axis=1, keepdims=True)
 
 
-OUTSIDE_SQL = fx.clean_sql("true") + """,
+def outside_sql(clean: str) -> str:
+    return clean + """,
 lg AS (SELECT *, [""" + ", ".join(
-    f"{a} * ln(1 + lines_added) + {b} * ln(1 + lines_removed) + {c} * length(message_clean) / 100"
-    for a, b, c in OUTSIDE) + """]::DOUBLE[] AS l FROM stats),
+        f"{a} * ln(1 + lines_added) + {b} * ln(1 + lines_removed) + {c} * length(message_clean) / 100"
+        for a, b, c in OUTSIDE) + """]::DOUBLE[] AS l FROM stats),
 ex AS (SELECT *, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM lg),
 outside AS MATERIALIZED (SELECT *, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM ex)"""
 
 
+OUTSIDE_SQL = outside_sql(fx.clean_sql("true"))
+
+
 @query("mlt4_external_model", sql(OUTSIDE_SQL, """
 SELECT commit_id, """ + ", ".join(
     f"round(probs[{k + 1}], 6) AS p_{c}" for k, c in enumerate(fv.TARGET_CLASSES)) + " FROM outside"))
@@ -271,6 +275,28 @@ def src9(spark, sf_dir):
         F.round(probs["test"], 4).alias("p_test"))
 
 
+@query("src9_logged_batch", sql(OUTSIDE_SQL, f"""
+SELECT DISTINCT 1 AS model_id, substring(coalesce(message, ''), 1, 280) AS message_preview,
+  md5(coalesce(message, '') || chr(1) || coalesce(diff, '')) AS text,
+  {NAMES}[{ARGMAX}] AS predicted_label, round(probs[{ARGMAX}], 6) AS confidence, 'cli-batch' AS source
+FROM outside"""))
+def src9_logged(spark, sf_dir):
+    """A CSV that is scored with a log, twice: every different text is logged once."""
+    given, out = new_path(spark, "batch"), new_path(spark, "batch-out")
+    commits = fx.commits(spark, sf_dir).select("message", "diff")
+    commits.write.csv(given, header=True, escape='"', quoteAll=True,
+                      ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    log = history.Log(new_path(spark, "registry"), new_path(spark, "log"), "csv")
+    for _ in range(2):
+        batch_csv.score_csv(spark, given, "cnn_text", outside_scorers(), out, log=log)
+    texts = commits.select(*[F.coalesce(c, F.lit("")).alias(c) for c in commits.columns]).distinct()
+    text = F.concat("message", F.lit("\u0001"), "diff")
+    named = texts.select(F.xxhash64(F.sha2(text, 256)).alias("id"), F.md5(text.cast("binary")).alias("text"))
+    return history.read_log(spark, log.path).join(named, "id").select(
+        "model_id", "message_preview", "text", "predicted_label",
+        F.round("confidence", 6).alias("confidence"), "source")
+
+
 # --- repository scans -------------------------------------------------------
 @query("src8_scan_repository", sql(fx.EXPORTED_SQL, """
 SELECT commit_id, substring(hash, 1, 10) AS hash, author, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS date,
@@ -283,6 +309,27 @@ def src8(spark, sf_dir):
                      F.md5(F.col("diff").cast("binary")).alias("diff_md5"))
 
 
+SCANNED_SQL = outside_sql(fx.clean_sql("true", fx.EXPORTED_SQL + """,
+scanned AS (SELECT commit_id, exported.hash, ts,
+    substring(split_part(message, chr(10), 1), 1, 160) AS message, full_diff AS diff
+  FROM exported WHERE n_parents <= 1)""", "scanned"))
+
+
+@query("src8_logged_scan", sql(SCANNED_SQL, f"""
+SELECT commit_id AS id, ts, 1 AS model_id, substring(message, 1, 280) AS message_preview,
+  substring(diff, 1, 280) AS diff_preview, {NAMES}[{ARGMAX}] AS predicted_label,
+  round(probs[{ARGMAX}], 6) AS confidence, 'cli-repo' AS source FROM outside"""))
+def src8_logged(spark, sf_dir):
+    """All non-merge commits judged by their first line and diff, and logged."""
+    exported = fx.exported_history(spark, sf_dir)
+    scanned = repository.scan(exported, last_n=exported.count() or 1)
+    log = history.Log(new_path(spark, "registry"), new_path(spark, "log"), "scan")
+    repository.classify(scanned, "cnn_text", outside_scorers(), first_line_only=True, log=log)
+    rows = history.read_log(spark, log.path)
+    return rows.select("id", "ts", "model_id", "message_preview", "diff_preview", "predicted_label",
+                       F.round("confidence", 6).alias("confidence"), "source")
+
+
 @query("agg7_classified_repository")
 def agg7_repository(spark, sf_dir):
     """Newest commits scored by the classifier: histogram, percent, dominant class."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -78,3 +79,39 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """A small new file; False if there is one of that name already.
+
+    The file system decides between writers that try at the same time. A local one is
+    asked by way of Java, as Hadoop's own check there is not atomic.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    filesystem.mkdirs(target.getParent())
+    if filesystem.getUri().getScheme() == "file":
+        if not jvm.java.io.File(target.toUri().getPath()).createNewFile():
+            return False
+        out = filesystem.create(target, True)
+    else:
+        try:
+            out = filesystem.create(target, False)
+        except Py4JJavaError:
+            if filesystem.exists(target):
+                return False
+            raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def file_sizes(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names and sizes of the files in a folder, which may not exist yet."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    filesystem = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not filesystem.exists(target):
+        return {}
+    return {f.getPath().getName(): f.getLen() for f in filesystem.listStatus(target)}

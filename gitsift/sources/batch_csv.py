@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from gitsift.functions.probabilities import as_json
 from gitsift.operators.scoring import Scorer, score
+from gitsift.session import materialise
+from gitsift.sources.history import Log
+
+#: How the log names rows that come from files.
+LOG_SOURCE = "cli-batch"
 
 
 def read_commits(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -29,14 +34,22 @@ def read_commits(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 def score_csv(
     spark: SparkSession, path: str, model: str, scorers: Mapping[str, Scorer], out: str,
-    multi_line: bool = True,
+    multi_line: bool = True, log: Log | None = None, batch: int = 0,
 ) -> None:
     """CSV in, CSV out: message, predicted label, confidence (4 decimals), probabilities (JSON).
 
-    Rows with equal text get equal answers, so each text is scored once.
+    Rows with equal text get equal answers, so each text is scored once, and logged once
+    if a log is given: as that batch of its writer, by an id made of the text.
     """
     rows = read_commits(spark, path, multi_line)
-    scored = score(rows.dropDuplicates(["commit_id"]), model, scorers)
+    texts = rows.dropDuplicates(["commit_id"])
+    scored = score(texts, model, scorers)
+    if log:
+        scored = materialise(scored, "scored")
+        log.write(texts.join(scored, "commit_id").select(
+            F.xxhash64("commit_id").alias("id"), F.current_timestamp().alias("ts"), "model",
+            F.lit(None).cast("bigint").alias("batch_run_id"), "message", "diff", "label", "confidence",
+            "probabilities", F.lit(LOG_SOURCE).alias("source")), batch)
     result = rows.select("commit_id", "message").join(scored, "commit_id").select(
         "message", F.col("label").alias("predicted_label"),
         F.format_string("%.4f", "confidence").alias("confidence"),

@@ -286,10 +286,12 @@ def test_load_corpus_needs_a_candidate(spark, tmp_path):
 def test_log_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = spark.range(10).select("id", F.timestamp_seconds(F.col("id")).alias("ts"), F.lit("x").alias("v"))
-    history.append_new_predictions(rows.filter("id < 6"), path)
-    history.append_new_predictions(rows, path)
-    history.append_new_predictions(rows.limit(0), path)
-    assert spark.read.parquet(path).count() == 10
+    assert history.read_log(spark, path, rows.schema).count() == 0
+    history.write_batch(rows.filter("id < 6"), path, "a", 0)
+    history.write_batch(rows.filter("id < 6"), path, "a", 0)
+    history.write_batch(rows, path, "b", 1)
+    history.write_batch(rows.limit(0), path, "a", 1)
+    assert sorted(r.id for r in history.read_log(spark, path, rows.schema).collect()) == list(range(10))
 
 
 def test_classifier_on_held_out_rows(spark, sf_dir, tmp_path):

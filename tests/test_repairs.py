@@ -57,16 +57,63 @@ def scored_rows(spark, rows):
                      F.create_map(F.lit("fix"), F.lit(1.0)).alias("probabilities"), F.lit("cli").alias("source"))
 
 
-def test_unregistered_models_lose_no_prediction(spark):
-    rows = history.prediction_rows(scored_rows(spark, [(1, "a"), (2, "b")]), history.empty_models(spark))
-    assert sorted((r.id, r.model_id) for r in rows.collect()) == [(1, 1), (2, 2)]
+def models_by_id(spark, log):
+    models = {r.model_id: r.name for r in history.read_models(spark, log.registry).collect()}
+    return {(r.id, models.get(r.model_id)) for r in history.read_log(spark, log.path).collect()}
+
+
+def log_at(tmp_path, writer="w"):
+    return history.Log(str(tmp_path / "registry"), str(tmp_path / "log"), writer)
+
+
+def test_unregistered_models_lose_no_prediction(spark, tmp_path):
+    rows = scored_rows(spark, [(1, "a"), (2, "b")])
+    assert history.prediction_rows(rows, history.empty_models(spark)).count() == 2
+    log = log_at(tmp_path)
+    log.write(rows)
+    assert models_by_id(spark, log) == {(1, "a"), (2, "b")}
 
 
 def test_repeated_ids_are_logged_once(spark, tmp_path):
-    rows = history.prediction_rows(scored_rows(spark, [(1, "a"), (1, "a"), (2, "a")]), history.empty_models(spark))
+    log = log_at(tmp_path)
+    for batch in (0, 0, 1):
+        log.write(scored_rows(spark, [(1, "a"), (1, "a"), (2, "a")]), batch)
+    assert sorted(r.id for r in history.read_log(spark, log.path).collect()) == [1, 2]
+
+
+def test_two_writers_with_new_models_get_different_ids(spark, tmp_path):
+    """At the same time, several models each, some of them the same; then all once more."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    batches = [[(10 * w + i, f"model-{(w + i) % 5}") for i in range(3)] for w in range(4)]
+    logs = [log_at(tmp_path, f"w{w}") for w in range(4)]
     for _ in range(2):
-        history.append_new_predictions(rows, str(tmp_path / "log"))
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "log")).collect()) == [1, 2]
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda x: x[0].write(scored_rows(spark, x[1])), zip(logs, batches)))
+        stored = history.read_models(spark, logs[0].registry).collect()
+        assert sorted(r.name for r in stored) == [f"model-{i}" for i in range(5)]
+        assert sorted(r.model_id for r in stored) == [1, 2, 3, 4, 5]
+        assert models_by_id(spark, logs[0]) == {x for some in batches for x in some}
+
+
+def test_a_claim_without_a_row_is_skipped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "CLAIM_SECONDS", 0)
+    log = log_at(tmp_path)
+    log.write(scored_rows(spark, [(1, "a")]))
+    (tmp_path / "registry" / "000000002.json").touch()
+    log.write(scored_rows(spark, [(2, "b")]), 1)
+    assert models_by_id(spark, log) == {(1, "a"), (2, "b")}
+    assert {r.model_id for r in history.read_models(spark, log.registry).collect()} == {1, 3}
+
+
+def test_registered_models_keep_their_time_in_any_zone(spark, tmp_path):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        found = history.registered(scored_rows(spark, [(7, "a"), (5, "a")]).select("model", "ts"), str(tmp_path / "r"))
+        assert found.select(F.unix_seconds("trained_at")).first()[0] == 5
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_a_commit_delivered_twice_is_logged_once(spark, tmp_path):
@@ -75,9 +122,11 @@ def test_a_commit_delivered_twice_is_logged_once(spark, tmp_path):
         "ts", F.timestamp_seconds("commit_id"))
     same = spark.createDataFrame([(1, [0.0, 1.0, 0.0, 0.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0, 0.0])],
                                  "commit_id long, probs array<double>")
-    path = str(tmp_path / "log")
-    log_batch("cnn_text", {"cnn_text": scoring.table_scorer(same)}, history.empty_models(spark), path, "s")(batch, 0)
-    assert sorted((r.id, r.predicted_label) for r in spark.read.parquet(path).collect()) == [(1, "fix"), (2, "feat")]
+    log = log_at(tmp_path)
+    for number in (0, 0, 1):
+        log_batch("cnn_text", {"cnn_text": scoring.table_scorer(same)}, log, "s")(batch, number)
+    assert sorted((r.id, r.predicted_label) for r in history.read_log(spark, log.path).collect()) == [
+        (1, "fix"), (2, "feat")]
 
 
 def test_predictions_without_a_batch_run_stay(spark):
