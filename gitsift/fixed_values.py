@@ -69,6 +69,7 @@ ENSEMBLE_CANDIDATES = ["baseline_tfidf", "cnn_text", "distilbert", "codebert"]
 ANSWER_ENSEMBLE_MEMBERS = {"qwen2.5-coder:3b": 0.74, "phi3.5:3.8b-mini-instruct-q4_K_M": 0.67}
 BASELINE_BOOST = 2.0
 VERIFIER_THRESHOLD = 0.60
+AUDIT_FOLDS = 5
 RETRIEVED_NEIGHBOURS = 3
 MODEL_VERSION = "0.1.0"
 

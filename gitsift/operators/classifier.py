@@ -100,12 +100,16 @@ class TextClassifier:
         cls, train: DataFrame, max_terms: int = fv.MAX_TERMS,
         max_iterations: int = fv.MAX_ITERATIONS, tolerance: float = 1e-3,
         inverse_regularisation: float = fv.INVERSE_REGULARISATION,
+        vocabulary: DataFrame | None = None,
     ) -> TextClassifier:
-        """Vocabulary, scaling and coefficients from training rows only."""
+        """Vocabulary, scaling and coefficients from training rows only.
+
+        ``vocabulary`` is that of the training rows, if it is known already.
+        """
         spark = train.sparkSession
-        terms = materialise(
-            numbered(tfidf.fit_vocabulary(train, BLOCKS, max_terms)).select(
-                "block", "term", "idx", "idf"), "terms")
+        if vocabulary is None:
+            vocabulary = tfidf.fit_vocabulary(train, BLOCKS, max_terms)
+        terms = materialise(numbered(vocabulary).select("block", "term", "idx", "idf"), "terms")
         n_terms = terms.count()
         scale = {r["column"]: r for r in tfidf.numeric_scale(train).collect()}  # three rows
         means = [float(scale[c]["mean"]) for c in fv.NUMERIC_COLUMNS]

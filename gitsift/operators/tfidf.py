@@ -13,13 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
 from gitsift.functions import ngrams
-from gitsift.session import spread
+from gitsift.session import materialise, measured, spread
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,44 @@ def fit_vocabulary(
     return out
 
 
+def fold_vocabularies(
+    df: DataFrame, blocks: Sequence[Block], folds: int, max_terms: int = fv.MAX_TERMS,
+    min_df: int = fv.MIN_DOC_FREQ, fold: str = "fold",
+) -> list[DataFrame]:
+    """For each fold the vocabulary of all rows outside it, as ``fit_vocabulary`` would find it.
+
+    Terms are counted once, by fold; what lies outside a fold is the total less its own.
+    """
+    size = measured(df.groupBy(fold).agg(F.count("*").alias("rows")), "fold-sizes")
+    counted = None
+    for b in blocks:
+        every = df.select(fold, block_terms(b).alias("t"))
+        placed = every.select(fold, F.size("t").alias("k"), F.posexplode(
+            F.concat("t", F.array_distinct("t"))).alias("i", "term"))
+        repeated = (F.col("i") < F.col("k")).cast("long")
+        one = placed.groupBy("term", fold).agg(F.sum(repeated).alias("n"), F.sum(1 - repeated).alias("df"))
+        one = one.groupBy("term").agg(
+            F.map_from_entries(F.collect_list(F.struct(fold, F.struct("n", "df")))).alias("own"),
+            F.sum("n").alias("n"), F.sum("df").alias("df")).withColumn("block", F.lit(b.name))
+        counted = one if counted is None else counted.unionByName(one)
+    counted = materialise(counted, "fold-terms", ["block"])
+    out = []
+    for f in range(folds):
+        own = F.try_element_at("own", F.lit(f).cast(df.schema[fold].dataType))
+        outside = counted.select(
+            "block", "term", (F.col("n") - F.coalesce(own["n"], F.lit(0))).alias("n"),
+            (F.col("df") - F.coalesce(own["df"], F.lit(0))).alias("df")).filter(F.col("df") >= min_df)
+        n_docs = F.broadcast(size.filter(F.col(fold) != f).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("n_docs")))
+        tops = [outside.filter(F.col("block") == b.name).orderBy(F.desc("n"), "term").limit(max_terms)
+                for b in blocks]
+        index = F.row_number().over(Window.partitionBy("block").orderBy("term")) - 1
+        out.append(reduce(DataFrame.unionByName, tops).join(n_docs).select(
+            "block", "term", index.alias("idx"), "n", "df",
+            (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf")))
+    return out
+
+
 def raw_weights(
     df: DataFrame, blocks: Sequence[Block], terms: DataFrame, max_terms: int = fv.MAX_TERMS,
     id_column: str = "commit_id",

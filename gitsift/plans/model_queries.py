@@ -100,33 +100,67 @@ STATED = classifier.Parameters(
     [[0.05 * (k - 2), 0.02 * k, -0.03 * k] for k in range(classifier.K)], 0)
 
 
-def stated_model(spark, sf_dir):
-    """The fitted vocabulary with coefficients made from each term's letters."""
+def stated_classifier(vocabulary, shift=0):
+    """A vocabulary with coefficients made from each term's letters."""
     size, first = F.char_length("term"), F.ascii("term")
-    coef = F.array(*[((size * (k + 2) + first * (k + 1)) % 7 / 3.0 - 1) for k in range(classifier.K)])
-    terms = classifier.numbered(fq.fitted_terms(spark, sf_dir)).select(
+    coef = F.array(*[((size * (k + 2) + first * (k + 1) + shift) % 7 / 3.0 - 1) for k in range(classifier.K)])
+    terms = classifier.numbered(vocabulary).select(
         "block", "term", "idx", "idf", coef.cast("array<double>").alias("coef"))
     return classifier.TextClassifier(terms, STATED)
 
 
-def stated_sql(asked: str) -> str:
-    """CTE ``stated`` (commit_id, probs) of the rows of CTE ``asked``."""
+def stated_model(spark, sf_dir):
+    return stated_classifier(fq.fitted_terms(spark, sf_dir))
+
+
+def stated_probs_sql(shift: str = "0") -> str:
+    """CTE ``stated`` (commit_id, probs) of the rows of CTE ``asked`` from weights ``qmw`` and ``qdw``."""
     dots = ", ".join(
-        f"sum(weight * ((length(term) * {k + 2} + unicode(term) * {k + 1}) % 7 / 3.0::DOUBLE - 1)) AS s{k}"
+        f"sum(weight * ((length(term) * {k + 2} + unicode(term) * {k + 1} + {shift}) % 7 / 3.0::DOUBLE - 1)) AS s{k}"
         for k in range(classifier.K))
     logits = ", ".join(
         f"coalesce(s{k}, 0) + {STATED.intercepts[k]}::DOUBLE + " + " + ".join(
             f"({c} - {STATED.means[i]}::DOUBLE) / {STATED.stds[i]} * {STATED.numeric_weights[k][i]}::DOUBLE"
             for i, c in enumerate(fv.NUMERIC_COLUMNS)) for k in range(classifier.K))
-    return fq.TRAIN_SQL + "," + fq.M_SQL + "," + fq.D_SQL + f",{asked}," + fq.counts_sql(
-        "asked", "qm", "message_clean", "word") + "," + fq.counts_sql("asked", "qd", "diff_text", "char") + "," \
-        + fq.weights_sql("qmw", "qm", "m_v") + "," + fq.weights_sql("qdw", "qd", "d_v") + f""",
+    return f"""
 dot AS (SELECT commit_id, {dots} FROM (SELECT * FROM qmw UNION ALL SELECT * FROM qdw) GROUP BY commit_id),
 lg AS (SELECT commit_id, [{logits}]::DOUBLE[] AS l FROM asked LEFT JOIN dot USING (commit_id)),
 ex AS (SELECT commit_id, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM lg),
 stated AS MATERIALIZED (SELECT commit_id, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM ex)"""
 
 
+def stated_sql(asked: str) -> str:
+    """CTE ``stated`` (commit_id, probs) of the rows of CTE ``asked``, with the training vocabulary."""
+    return fq.TRAIN_SQL + "," + fq.M_SQL + "," + fq.D_SQL + f",{asked}," + fq.counts_sql(
+        "asked", "qm", "message_clean", "word") + "," + fq.counts_sql("asked", "qd", "diff_text", "char") + "," \
+        + fq.weights_sql("qmw", "qm", "m_v") + "," + fq.weights_sql("qdw", "qd", "d_v") + "," \
+        + stated_probs_sql()
+
+
+def stated_folds_sql() -> str:
+    """The same, every commit with the vocabulary of the commits outside its fold."""
+    def fold_weights(out: str, counts: str) -> str:
+        return f"""
+{out}_v AS MATERIALIZED (
+  SELECT f.fold, term, ln((1 + f.n_docs) / (1 + count(*))) + 1 AS idf
+  FROM {counts} c JOIN asked a USING (commit_id) JOIN folds f ON a.fold <> f.fold
+  GROUP BY f.fold, f.n_docs, term HAVING count(*) >= 2
+  QUALIFY row_number() OVER (PARTITION BY f.fold ORDER BY sum(tf) DESC, term) <= 30000),
+{out} AS MATERIALIZED (SELECT commit_id, fold, term,
+    w / sqrt(sum(w * w) OVER (PARTITION BY commit_id)) AS weight FROM (
+  SELECT commit_id, a.fold, term, (1 + ln(tf)) * idf AS w
+  FROM {counts} JOIN asked a USING (commit_id) JOIN {out}_v v USING (term) WHERE v.fold = a.fold))"""
+
+    return fx.CLEAN_SQL + f""",
+asked AS MATERIALIZED (SELECT *, CAST(('0x' || substring(
+    md5('42|' || message_clean || chr(1) || diff_text), 1, 8))::BIGINT % {fv.AUDIT_FOLDS} AS INTEGER) AS fold
+  FROM clean),
+folds AS (SELECT fold, (SELECT count(*) FROM asked) - count(*) AS n_docs FROM asked GROUP BY fold),""" \
+        + fq.counts_sql("asked", "qm", "message_clean", "word") + "," \
+        + fq.counts_sql("asked", "qd", "diff_text", "char") + "," \
+        + fold_weights("qmw", "qm") + "," + fold_weights("qdw", "qd") + "," + stated_probs_sql("fold")
+
+
 @query("mlt3_stated_model", sql(stated_sql("""
 asked AS (SELECT * FROM splits)"""), "SELECT commit_id, " + ", ".join(
     f"round(probs[{k + 1}], 6) AS p_{c}" for k, c in enumerate(fv.TARGET_CLASSES)) + " FROM stated"))
@@ -443,21 +477,33 @@ def evl2(spark, sf_dir):
 
 
 # --- audits -----------------------------------------------------------------
+@query("aud1_stated_folds", sql(stated_folds_sql(), f"""
+SELECT commit_id, fold, label, {NAMES}[{ARGMAX}] AS pred, round(probs[{ARGMAX}], 6) AS confidence,
+  label = {NAMES}[{ARGMAX}] AS agrees FROM stated JOIN asked USING (commit_id)"""))
+def aud1_stated_folds(spark, sf_dir):
+    """Every commit audited by a model that has not seen its text, coefficients stated per fold."""
+    commits = fx.clean(spark, sf_dir)
+    found = hybrid.out_of_fold(commits, lambda _, vocabulary, fold: stated_classifier(vocabulary, fold))
+    audited = hybrid.audit(commits, found).join(found.select("commit_id", "fold"), "commit_id")
+    return rounded(audited, ["confidence"])
+
+
 @query("aud1_label_audit")
 def aud1(spark, sf_dir):
-    """Held-out commits whose author type differs from the predicted one."""
-    held_out = fx.splits(spark, sf_dir).filter(F.col("split") != "train")
-    audited = hybrid.audit(held_out, fitted(spark, sf_dir).predict(held_out))
+    """All commits whose author type differs from that of a model trained without them."""
+    commits = fx.clean(spark, sf_dir)
+    found = hybrid.out_of_fold(
+        commits, lambda train, vocabulary, _: classifier.TextClassifier.fit(train, vocabulary=vocabulary))
+    audited = hybrid.audit(commits, materialise(found, "out-of-fold"))
     return rounded(audited.filter(~F.col("agrees")).drop("agrees"), ["confidence"])
 
 
 @query("aud1_audit_summary", sql(fx.CLEAN_SQL + "," + fx.MEMBERS_SQL.replace(
     fx.COMMITS_SQL + ",", ""), """
-SELECT label, count(*) AS n, round(avg(CAST(label = pred AS INT)), 6) AS agreement_rate
-FROM clean JOIN mp USING (commit_id) WHERE member_idx = 0 GROUP BY label"""))
+SELECT member, label, count(*) AS n, round(avg(CAST(label = pred AS INT)), 6) AS agreement_rate
+FROM clean JOIN mp USING (commit_id) GROUP BY member, label"""))
 def aud1_summary(spark, sf_dir):
-    """Agreement rates of the first member's predictions."""
-    predictions = fx.member_predictions(spark, sf_dir).filter(F.col("member_idx") == 0).withColumn(
-        "confidence", F.lit(1.0))
-    return rounded(hybrid.audit_summary(hybrid.audit(fx.clean(spark, sf_dir), predictions)),
-                   ["agreement_rate"])
+    """Agreement rates of every member's predictions."""
+    predictions = fx.member_predictions(spark, sf_dir).withColumn("confidence", F.lit(1.0))
+    audited = hybrid.audit(fx.clean(spark, sf_dir), predictions, ["member"])
+    return rounded(hybrid.audit_summary(audited, ["member"]), ["agreement_rate"])
