@@ -130,6 +130,69 @@ def stratified_split(
     return placed.withColumn("split", name).select(*df.columns, "split")
 
 
+def text_group(seed: int, columns: Sequence[str]) -> Column:
+    """Order key of a group of rows with equal texts."""
+    parts = [c for name in columns for c in (F.lit("\u0001"), F.coalesce(name, F.lit("")))][1:]
+    return F.md5(F.concat(F.lit(f"{seed}|"), *parts).cast("binary"))
+
+
+def weighted_thresholds(groups: DataFrame, cuts: Callable[[Column], Sequence[Column]]) -> DataFrame:
+    """Per class of ``groups(grp, key, size)``: for each cut, the last key placed below it.
+
+    Groups lie one after the other in key order, as long as they have rows, and a group is
+    below a cut if its middle is. ``cuts(n)`` gives the cuts as columns of the class size.
+    As with ``rank_thresholds``, only the bucket in which a cut falls is put in order.
+    """
+    keyed = groups.withColumn("prefix", F.substring("key", 1, BUCKET_HEX_DIGITS))
+    weights = measured(keyed.groupBy("grp", "prefix").agg(F.sum("size").alias("weight")), "bucket-weights")
+    up_to = Window.partitionBy("grp").orderBy("prefix")  # at most 65,536 rows per class
+    spans = weights.withColumn("upto", F.sum("weight").over(up_to)).withColumn(
+        "before", F.col("upto") - F.col("weight"))
+    sizes = weights.groupBy("grp").agg(F.sum("weight").alias("n"))
+    wanted = sizes.select("grp", F.posexplode(F.array(*[c.cast("long") for c in cuts(F.col("n"))]))
+                          .alias("cut_no", "cut"))
+    hit = measured(wanted.join(spans, "grp").filter(
+        (F.col("cut") > F.col("before")) & (F.col("cut") <= F.col("upto"))).select(
+        "grp", "cut_no", "cut", "prefix", "before"), "cut-buckets")
+    inside = Window.partitionBy("grp", "cut_no").orderBy("key")
+    middle = 2 * (F.col("before") + F.sum("size").over(inside)) - F.col("size")
+    below = keyed.join(hit, ["grp", "prefix"]).withColumn("middle", middle).groupBy("grp", "cut_no").agg(
+        # The bare prefix comes before every key of its bucket and after all earlier ones.
+        F.coalesce(F.max(F.when(F.col("middle") <= 2 * F.col("cut"), F.col("key"))), F.max("prefix")).alias("key"))
+    placed = wanted.join(below, ["grp", "cut_no"], "left").withColumn("key", F.coalesce("key", F.lit("")))
+    return placed.groupBy("grp").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("cut_no", "key"))), lambda t: t["key"]).alias("thresholds"))
+
+
+def group_split(
+    df: DataFrame, seed: int = fv.SEED, label: str = "label",
+    texts: Sequence[str] = ("message_clean", "diff_text"),
+) -> DataFrame:
+    """70/15/15 inside every class, with rows of equal texts in one split.
+
+    A group of equal texts belongs to the class that most of its rows have (the first by
+    name on a tie) and goes whole to the split that holds its middle, in the order of the
+    groups' hashes; so every share is right to within half a group. Groups are counted
+    before they are moved, however many rows one has, and the rows themselves only meet
+    the thresholds, and those groups that hold several classes.
+    """
+    first, second = fv.TRAIN_TWENTIETHS, fv.TRAIN_TWENTIETHS + fv.VALIDATION_TWENTIETHS
+    keyed = df.withColumn("_key", text_group(seed, texts))
+    counted = keyed.groupBy("_key", label).agg(F.count("*").alias("rows"))
+    groups = measured(counted.groupBy(F.col("_key").alias("key")).agg(
+        F.min_by(F.col(label), F.struct(-F.col("rows"), F.col(label))).alias("grp"),
+        F.sum("rows").alias("size"), F.count("*").alias("classes")), "text-groups")
+    thresholds = measured(weighted_thresholds(
+        groups, lambda n: [F.floor(n * first / 20), F.floor(n * second / 20)]), "thresholds")
+    mixed = measured(groups.filter(F.col("classes") > 1).select(
+        F.col("key").alias("_key"), F.col("grp").alias("_class")), "mixed-groups")
+    passed = F.size(F.filter("thresholds", lambda t: F.col("_key") > t))
+    name = F.element_at(F.array(F.lit("train"), F.lit("val"), F.lit("test")), passed + 1)
+    return (keyed.join(mixed, "_key", "left")
+            .withColumn("grp", F.coalesce("_class", F.col(label)))
+            .join(thresholds, "grp").select(*df.columns, name.alias("split")))
+
+
 def balanced_subsample(
     df: DataFrame,
     target_per_class: int | None = None,

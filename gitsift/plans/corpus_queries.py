@@ -250,6 +250,26 @@ def smp1(spark, sf_dir):
     return fx.new_splits(spark, sf_dir).select("commit_id", "label", "split")
 
 
+GROUP_SPLIT_SQL = fx.CLEAN_SQL + """,
+keyed AS (SELECT *, md5('42|' || message_clean || chr(1) || diff_text) AS key FROM clean),
+grouped AS (
+  SELECT key, arg_min(label, (-n, label)) AS grp, CAST(sum(n) AS BIGINT) AS size
+  FROM (SELECT key, label, count(*) AS n FROM keyed GROUP BY ALL) GROUP BY key),
+lined AS (
+  SELECT key, 2 * sum(size) OVER (PARTITION BY grp ORDER BY key) - size AS middle,
+    sum(size) OVER (PARTITION BY grp) AS n FROM grouped),
+splits AS MATERIALIZED (
+  SELECT keyed.*, CASE WHEN middle <= 2 * floor(n * 14 / 20) THEN 'train'
+    WHEN middle <= 2 * floor(n * 17 / 20) THEN 'val' ELSE 'test' END AS split
+  FROM keyed JOIN lined USING (key))"""
+
+
+@query("smp1_group_split", sql(GROUP_SPLIT_SQL, "SELECT commit_id, label, split FROM splits"))
+def smp1_group(spark, sf_dir):
+    """The same shares, but commits of equal message and diff are never in two splits."""
+    return sampling.group_split(fx.clean(spark, sf_dir)).select("commit_id", "label", "split")
+
+
 def ranked_sql(where: str, size: str) -> str:
     return f""",
 k AS (SELECT commit_id, label, n_all, r, n, min(n) OVER () AS smallest FROM (
@@ -352,15 +372,14 @@ def joi11(spark, sf_dir):
 dim AS (SELECT unnest(['feat', 'fix', 'docs', 'refactor', 'test', 'none']) AS label,
   unnest([0, 1, 2, 3, 4, 5]) AS class_idx),
 h AS (SELECT CAST(class_idx AS INTEGER) AS class_idx, dim.label, count(c.label) AS n FROM dim
-  LEFT JOIN (SELECT * FROM clean WHERE label <> 'docs') c ON c.label = dim.label
+  LEFT JOIN clean c ON c.label = dim.label
   WHERE class_idx < 5 GROUP BY 1, 2)
 SELECT class_idx, label, n, round(n * 100 / sum(n) OVER (), 1) AS pct,
   first_value(label) OVER (ORDER BY n DESC, class_idx) AS dominant,
   count(*) FILTER (n > 0) OVER () AS classes_seen, CAST(sum(n) OVER () AS BIGINT) AS n_commits FROM h"""))
 def agg7(spark, sf_dir):
-    """Commits of class docs left out, so that a class without commits shows as zero."""
-    seen = fx.clean(spark, sf_dir).filter(F.col("label") != "docs")
-    histogram = summaries.label_histogram(seen)
+    """All clean commits by class; a class without commits would show as zero."""
+    histogram = summaries.label_histogram(fx.clean(spark, sf_dir))
     return histogram.join(F.broadcast(summaries.histogram_summary(histogram)), F.lit(True))
 
 
@@ -374,6 +393,13 @@ def joi8(spark, sf_dir):
     return summaries.split_overlap(fx.splits(spark, sf_dir))
 
 
+@query("joi8_group_split_overlap", sql(GROUP_SPLIT_SQL, """
+SELECT count(DISTINCT key) AS n_keys, 0 AS n_shared, CAST(0 AS DOUBLE) AS ratio FROM splits WHERE split = 'test'"""))
+def joi8_group(spark, sf_dir):
+    """After the group split nothing of the test texts occurs in training."""
+    return summaries.split_overlap(sampling.group_split(fx.clean(spark, sf_dir)))
+
+
 @query("set1_union", sql(fx.SPLIT_SQL, "SELECT commit_id, split, label FROM splits"))
 def set1(spark, sf_dir):
     df = fx.splits(spark, sf_dir).select("commit_id", "split", "label")

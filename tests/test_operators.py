@@ -206,6 +206,54 @@ def test_vocabulary_cap_and_idf(spark):
     assert rows[0].idf == pytest.approx(np.log(5 / 4) + 1)
 
 
+def test_fold_vocabularies_are_those_of_the_rows_outside(spark):
+    rows = [(i, f"w{i % 4} w{i % 3} common", i % 3) for i in range(12)]
+    df = spark.createDataFrame(rows, "commit_id long, message_clean string, fold int")
+    found = tfidf.fold_vocabularies(df, [tfidf.MESSAGE], 4, max_terms=5)
+    for fold, vocabulary in enumerate(found):
+        want = tfidf.fit_vocabulary(df.filter(F.col("fold") != fold), [tfidf.MESSAGE], 5)
+        assert sorted(vocabulary.select(want.columns).collect()) == sorted(want.collect())
+
+
+def test_out_of_fold_covers_every_commit_once_and_shows_no_text_twice(spark):
+    rows = [(i, f"w{i % 30} w{i % 7}", f"+{i % 5}", 1, 2, 3, CLASSES[i % 5]) for i in range(210)]
+    df = spark.createDataFrame(rows, "commit_id long, message_clean string, diff_text string, files_changed int, "
+                                     "lines_added int, lines_removed int, label string")
+    seen = {}
+
+    def fit(train, vocabulary, fold):
+        seen[fold] = {(r.message_clean, r.diff_text) for r in train.collect()}
+        coef = F.array(*[F.lit(0.0)] * 5)
+        terms = classifier.numbered(vocabulary).select("block", "term", "idx", "idf", coef.alias("coef"))
+        return classifier.TextClassifier(terms, classifier.Parameters(
+            100, 0, [0.0] * 5, [0.0] * 3, [1.0] * 3, [[0.0] * 3] * 5, 0))
+
+    found = {r.commit_id: r.fold for r in hybrid.out_of_fold(df, fit, 3, max_terms=100).collect()}
+    assert sorted(found) == list(range(210)) and len(seen) == 3
+    for i, message, diff, *_ in rows:
+        assert (message, diff) not in seen[found[i]]
+
+
+@pytest.mark.parametrize("seed", [1, 42])
+def test_group_split_keeps_equal_texts_together_and_shares_right(spark, seed):
+    """A third of one class is one text, some texts have two classes, some classes few rows."""
+    rows = [(i, "same" if i % 3 == 0 else f"m{i % 150}", f"d{i % 2}", "fix") for i in range(400)]
+    rows += [(1000 + i, f"m{i}", "d1", "feat") for i in range(100)] + [(2000, "x", None, "docs"), (2001, None, "", "test")]
+    df = spark.createDataFrame(rows, "commit_id long, message_clean string, diff_text string, label string")
+    split = {r.commit_id: r.split for r in sampling.group_split(df, seed).collect()}
+    assert sorted(split) == sorted(r[0] for r in rows)
+    groups = {}
+    for i, message, diff, label in rows:
+        groups.setdefault((message or "", diff or ""), []).append((label, split[i]))
+    assert all(len({s for _, s in g}) == 1 for g in groups.values())
+    owner = {k: min({c for c, _ in g}, key=lambda c: (-sum(x == c for x, _ in g), c)) for k, g in groups.items()}
+    for label in {r[3] for r in rows}:
+        own = [g for k, g in groups.items() if owner[k] == label]
+        n, largest = sum(map(len, own)), max(map(len, own), default=0)
+        for name, share in (("train", 0.7), ("val", 0.15), ("test", 0.15)):
+            assert abs(sum(len(g) for g in own if g[0][1] == name) - share * n) <= largest + 1
+
+
 def test_token_sequences(spark):
     df = spark.createDataFrame([(1, "b, a a"), (2, "a! c"), (3, "")], "commit_id long, t string")
     got = {r.commit_id: r.tokens for r in tfidf.token_sequences(df, "t", 4, 3).collect()}
