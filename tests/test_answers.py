@@ -1,10 +1,13 @@
 """Answers of language models and prompts."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from gitsift.functions import answers, prompts
-from gitsift.operators.text_metrics import corpus_bleu, rouge_l
+from gitsift.operators.text_metrics import clipped_matches, corpus_bleu, lcs_length, rouge_l
 
 CLASSES = [
     ('{"type": "FIX"}', "json_mode", "fix"), ('{"type": "chore"}', "json_mode", None),
@@ -99,3 +102,35 @@ def test_bleu(spark):
     assert got["r"] == pytest.approx(100.0) and got["q"] == 0.0
     # matches 3/4, 2/3, 1/2 and, smoothed, 1/(2*1)
     assert got["s"] == pytest.approx(100 * (3 / 4 * 2 / 3 * 1 / 2 * 1 / 2) ** 0.25)
+
+
+def lcs_by_hand(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diagonal = 0
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_longest_common_subsequence_over_many_words(spark):
+    """Lengths around a word's 62 places, carries between words, few and many different tokens."""
+    rng = random.Random(4)
+    rows = []
+    for n in (0, 1, 2, 30, 61, 62, 63, 100, 123, 124, 125, 190, 260):
+        for kinds in (1, 2, 5, 60):
+            a, b = ([f"t{rng.randrange(kinds)}" for _ in range(k)] for k in (n, max(0, n + rng.randrange(-40, 41))))
+            rows += [(a, b), (b, a), (a, a)]
+    rows += [(["x"], ["y"]), ([], ["y"])]
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>")
+    got = [r[0] for r in df.select(lcs_length(F.col("a"), F.col("b"))).collect()]
+    assert got == [lcs_by_hand(a, b) for a, b in rows]
+
+
+def test_clipped_matches(spark):
+    rng = random.Random(5)
+    rows = [tuple([f"g{rng.randrange(k)}" for _ in range(rng.randrange(30))] for _ in range(2))
+            for k in (1, 2, 4, 10, 100) for _ in range(20)] + [([], []), (["", "a", ""], ["", "b", "", ""])]
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>")
+    got = [r[0] for r in df.select(clipped_matches(F.col("a"), F.col("b"))).collect()]
+    assert got == [sum((Counter(a) & Counter(b)).values()) for a, b in rows]
