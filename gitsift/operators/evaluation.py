@@ -13,7 +13,7 @@ from gitsift.functions.text import first_line
 from gitsift.operators.cleaning import or_fallback
 from gitsift.operators.metrics import evaluation_report
 from gitsift.operators.text_metrics import corpus_bleu, rouge_l
-from gitsift.session import measured
+from gitsift.session import materialise, measured
 
 RUN = ["model", "strategy"]
 
@@ -137,41 +137,32 @@ def classification_summary(rows: DataFrame, keys: Sequence[str] = RUN) -> DataFr
     return report.join(rates, list(keys)).join(latency_summary(rows, keys), list(keys))
 
 
-def positions(df: DataFrame, id_column: str, keys: Sequence[str] = (), width: int = 65_536) -> DataFrame:
-    """``idx`` 1, 2, ... in id order inside each key, by ranking id ranges of fixed width."""
-    block = F.floor(F.col(id_column) / width).alias("block")
-    counts = df.groupBy(*keys, block).agg(F.count("*").alias("cnt"))
-    before = F.sum("cnt").over(Window.partitionBy(*keys).orderBy("block")) - F.col("cnt")
-    starts = counts.select(*keys, "block", before.alias("start"))
-    inside = F.row_number().over(Window.partitionBy(*keys, "block").orderBy(id_column))
-    joined = df.withColumn("block", block).join(starts, [*keys, "block"])
-    return joined.withColumn("idx", inside + F.col("start")).drop("block", "start")
-
-
 def running_accuracy(
-    rows: DataFrame, keys: Sequence[str], every: int, flag: str = "correct", blocks: int = 4096
+    rows: DataFrame, keys: Sequence[str], every: int, order: str = "commit_id", flag: str = "correct",
+    parts: int | None = None,
 ) -> DataFrame:
-    """Accuracy so far at each ``every``-th row of a run.
+    """``(keys, idx, accuracy)``: accuracy so far at each ``every``-th row of a run, in ``order``.
 
-    Rows are summed per step of ``every`` before anything is ordered; steps are
-    accumulated inside groups of ``blocks`` steps and the groups among themselves,
-    so no task sees a whole run.
+    The order may be of any type that sorts; rows of a run that tie in it are interchangeable.
+    Rows are cut into ranges of the order, written, and numbered and summed inside each range
+    and run; what lies in earlier ranges is added from one small table, a row a range and run.
+    No task sees a whole run, and each row is parsed once.
     """
-    step = F.floor((F.col("idx") - 1) / every)
-    steps = rows.groupBy(*keys, step.alias("step")).agg(
-        F.sum(flag).alias("hits"), F.count("*").alias("cnt")
-    ).withColumn("grp", F.floor(F.col("step") / blocks))
-    totals = steps.groupBy(*keys, "grp").agg(F.sum("hits").alias("gh"), F.sum("cnt").alias("gc"))
-    ordered = Window.partitionBy(*keys).orderBy("grp")
-    starts = totals.select(
-        *keys, "grp", (F.sum("gh").over(ordered) - F.col("gh")).alias("h0"),
-        (F.sum("gc").over(ordered) - F.col("gc")).alias("c0"))
-    inside = Window.partitionBy(*keys, "grp").orderBy("step")
-    summed = steps.withColumns(
-        {"h": F.sum("hits").over(inside), "c": F.sum("cnt").over(inside)})
-    return summed.join(starts, [*keys, "grp"]).filter(F.col("cnt") == every).select(
-        *keys, ((F.col("step") + 1) * every).alias("idx"),
-        ((F.col("h") + F.col("h0")) / (F.col("c") + F.col("c0"))).alias("accuracy"))
+    spark = rows.sparkSession
+    # Cutting into ranges looks at the rows before it moves them, so they are written first.
+    slim = materialise(rows.select(*keys, F.col(order).alias("_at"), F.col(flag).cast("long").alias("_hit")), "flags")
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = materialise(slim.repartitionByRange(parts, "_at").withColumn("_range", F.spark_partition_id()), "ranges")
+    upto = Window.partitionBy(*keys, "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = ranges.select(*keys, "_range", F.count("*").over(upto).alias("n"), F.sum("_hit").over(upto).alias("hits"))
+    totals = ranges.groupBy(*keys, "_range").agg(F.count("*").alias("n"), F.sum("_hit").alias("hits"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = measured(totals.select(*keys, "_range", *[
+        F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("n", "hits")]), "range-starts")
+    same = [inside[c].eqNullSafe(before[c]) for c in (*keys, "_range")]
+    idx = F.col("n") + F.col("n_before")
+    return inside.join(before, same).filter(idx % every == 0).select(
+        *[inside[c] for c in keys], idx.alias("idx"), ((F.col("hits") + F.col("hits_before")) / idx).alias("accuracy"))
 
 
 def verifier_input(rows: DataFrame) -> DataFrame:

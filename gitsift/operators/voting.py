@@ -7,11 +7,10 @@ number of commits.
 
 from __future__ import annotations
 
-import itertools
-import json
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gitsift import fixed_values as fv
@@ -82,27 +81,65 @@ def weights_table(df: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     return df.sparkSession.range(1).select(F.explode(rows).alias("w")).select("w.*")
 
 
-def candidate_weights(n_members: int, steps: int = 10) -> list[tuple[float, ...]]:
-    """All weight vectors on the grid, the one nearest to equal weights first."""
-    points = [
-        p for p in itertools.product(range(steps + 1), repeat=n_members) if sum(p) == steps
-    ]
-    points.sort(key=lambda p: (sum((x * n_members - steps) ** 2 for x in p), p))
-    return [tuple(x / steps for x in p) for p in points]
+#: Weight vectors that one pass may score; a finer search takes several passes.
+MAX_CANDIDATES = 5_000
+
+
+def grid_weights(spark: SparkSession, n_members: int, steps: int) -> DataFrame:
+    """``units array<int>``: all ways to deal ``steps`` equal parts to the members, as a table."""
+    dealt = spark.range(1).select(F.array().cast("array<int>").alias("units"), F.lit(steps).alias("left"))
+    for _ in range(n_members - 1):
+        dealt = dealt.select("units", "left", F.explode(F.sequence(F.lit(0), F.col("left"))).alias("u")).select(
+            F.concat("units", F.array("u")).alias("units"), (F.col("left") - F.col("u")).alias("left"))
+    return dealt.select(F.concat("units", F.array("left")).alias("units"))
+
+
+def nearby_weights(best: DataFrame, n_members: int) -> DataFrame:
+    """Vectors of parts half as large: each given one, and what one or two moves of a part make of it.
+
+    No member gains or loses more than one part.
+    """
+    doubled = best.select(F.transform("units", lambda u: u * 2).alias("units"))
+    moved = doubled.select("units", F.array().cast("array<int>").alias("d"))
+    for _ in range(n_members):
+        moved = moved.select("units", "d", F.explode(F.sequence(F.lit(-1), F.lit(1))).alias("x")).select(
+            "units", F.concat("d", F.array("x")).alias("d")).filter(
+            (F.size(F.filter("d", lambda x: x < 0)) <= 2) & (F.size(F.filter("d", lambda x: x > 0)) <= 2))
+    whole = moved.filter(F.aggregate("d", F.lit(0), lambda x, y: x + y) == 0)
+    summed = whole.select(F.zip_with("units", "d", lambda u, d: u + d).alias("units"))
+    return summed.filter(F.forall("units", lambda u: u >= 0)).distinct()
+
 
+def nearby_count(n_members: int) -> int:
+    """How many vectors ``nearby_weights`` makes of one at most."""
+    return 1 + n_members * (n_members - 1) + 6 * math.comb(n_members, 4)
 
-def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int = 10) -> DataFrame:
+
+def search_weights(
+    probabilities: DataFrame, members: Sequence[str], steps: int = 10, candidates: DataFrame | None = None,
+) -> DataFrame:
     """Macro-F1 of every candidate weight vector, in one pass.
 
+    ``candidates(units)`` are parts of ``steps`` by member; without them, all there are.
     Members are found by name. A commit that lacks one is an error: scored by what is
-    there, it would be scored with other weights than the candidate's. Each commit is scored under all candidates inside its task and only counts
-    per (candidate, gold, predicted) are shuffled: 25 cells per candidate.
+    there, it would be scored with other weights than the candidate's. Each commit is scored
+    under all candidates inside its task and only counts per (candidate, gold, predicted)
+    are shuffled: 25 cells per candidate. Candidates are numbered with the one nearest to
+    equal weights first.
     """
-    grid_rows = candidate_weights(len(members), steps)
-    fields = [f"w{k}" for k in range(len(members))]
-    rows = [dict(zip(["candidate", *fields], (i, *row))) for i, row in enumerate(grid_rows)]
-    shape = "array<struct<candidate: int, " + ", ".join(f"{w}: double" for w in fields) + ">>"
-    candidates = F.from_json(F.lit(json.dumps(rows)), shape)
+    spark, n = probabilities.sparkSession, len(members)
+    if candidates is None:
+        if math.comb(steps + n - 1, n - 1) > MAX_CANDIDATES:
+            raise ValueError(f"more than {MAX_CANDIDATES} weight vectors; use refined_weights")
+        candidates = grid_weights(spark, n, steps)
+    uneven = F.aggregate("units", F.lit(0), lambda x, u: x + (u * n - steps) * (u * n - steps))
+    fields = [f"w{k}" for k in range(n)]
+    ordered = F.sort_array(F.collect_list(F.struct(uneven.alias("uneven"), "units")))
+    numbered = F.transform(ordered, lambda x, i: F.struct(i.alias("candidate"), *[
+        (x["units"][k] / steps).alias(w) for k, w in enumerate(fields)]))
+    # One row, of at most MAX_CANDIDATES vectors; written, so that every pass sees the same one.
+    table = measured(candidates.agg(numbered.alias("candidates")), "candidates")
+
     def of(member: str) -> Column:
         found = F.max(F.when(F.col("member") == member, F.col("probs")))
         lacking = F.raise_error(F.concat(F.lit(f"no answer of {member} for commit "),
@@ -117,7 +154,8 @@ def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int
             for k in range(len(members)) for c in range(len(fv.TARGET_CLASSES))
         ],
     )
-    scored = wide.select("*", F.explode(candidates).alias("x")).select("*", "x.*")
+    scored = wide.join(F.broadcast(table)).select("*", F.explode("candidates").alias("x")).select(
+        *wide.columns, "x.*")
     sums = []
     for c in range(len(fv.TARGET_CLASSES)):
         total = F.col("w0") * F.col(f"p0_{c}")
@@ -138,6 +176,28 @@ def search_weights(probabilities: DataFrame, members: Sequence[str], steps: int
         "candidate", F.array(*weights).alias("weights"), "accuracy", "macro_f1", "weighted_f1")
 
 
+def refined_weights(
+    probabilities: DataFrame, members: Sequence[str], coarse: int = 5, rounds: int = 1, keep: int = 16,
+) -> DataFrame:
+    """Candidates and their scores, from a coarse grid and then halved steps around the best.
+
+    A full grid of small steps grows with the power of the members. Here the first pass
+    scores the coarse grid, and each round the best so far, ``keep`` of them or as many as
+    one pass allows, with what lies around them. Returned are the candidates of the last
+    round, which include the best of all before, so ``best_weights`` chooses among them.
+    """
+    n, steps = len(members), coarse
+    keep = max(1, min(keep, MAX_CANDIDATES // nearby_count(n)))
+    candidates = None
+    for passed in range(rounds + 1):
+        scored = measured(search_weights(probabilities, members, steps, candidates), "scored-weights")
+        if passed == rounds:
+            return scored
+        best = scored.orderBy(F.desc(grid(F.col("macro_f1"))), "candidate").limit(keep).select(
+            F.transform("weights", lambda w: F.round(w * steps).cast("int")).alias("units"))
+        candidates, steps = nearby_weights(measured(best, "best-candidates"), n), 2 * steps
+
+
 def best_weights(search: DataFrame, members: Sequence[str]) -> DataFrame:
     """``(member, weight)`` of the best candidate; on a tie the one nearest to equal.
 

@@ -331,8 +331,19 @@ SELECT model, strategy, idx, round(acc, 6) AS accuracy FROM (
       ROWS UNBOUNDED PRECEDING) AS acc FROM cls) WHERE idx % 25 = 0"""))
 def win5(spark, sf_dir):
     rows = evaluation.classification_rows(fx.responses(spark, sf_dir))
-    numbered = evaluation.positions(rows, "commit_id", RUN)
-    return rounded(evaluation.running_accuracy(numbered, RUN, 25), ["accuracy"])
+    return rounded(evaluation.running_accuracy(rows, RUN, 25), ["accuracy"])
+
+
+@query("win5_running_accuracy_by_text", sql(SCORED_SQL, """
+SELECT model, strategy, idx, round(acc, 6) AS accuracy FROM (
+  SELECT model, strategy, row_number() OVER (PARTITION BY model, strategy ORDER BY key) AS idx,
+    avg(correct) OVER (PARTITION BY model, strategy ORDER BY key ROWS UNBOUNDED PRECEDING) AS acc
+  FROM (SELECT *, md5(CAST(commit_id AS VARCHAR)) AS key FROM cls)) WHERE idx % 25 = 0"""))
+def win5_text(spark, sf_dir):
+    """The same in the order of text ids."""
+    rows = evaluation.classification_rows(fx.responses(spark, sf_dir)).withColumn(
+        "at", F.md5(F.col("commit_id").cast("string").cast("binary")))
+    return rounded(evaluation.running_accuracy(rows, RUN, 25, order="at"), ["accuracy"])
 
 
 @query("src18_run_documents", sql(SCORED_SQL + "," + report_sql("cls", "model, strategy"), """

@@ -307,6 +307,18 @@ def ens2_best(spark, sf_dir):
     return voting.best_weights(search, MEMBERS)
 
 
+@query("ens2_refined_weights", sql(SEARCH_SQL, """,
+best AS (SELECT a, b, c, d, macro_f1 FROM rep ORDER BY round(macro_f1 * 1e12) DESC,
+  (4 * a - 10) ** 2 + (4 * b - 10) ** 2 + (4 * c - 10) ** 2 + (4 * d - 10) ** 2, a, b, c, d LIMIT 1)
+SELECT concat_ws(',', a, b, c, d) AS tenths, round(macro_f1, 6) AS macro_f1 FROM best"""))
+def ens2_refined(spark, sf_dir):
+    """Fifths, then tenths around the best: the winner is that of the full grid of tenths."""
+    found = voting.refined_weights(validation_probabilities(spark, sf_dir), MEMBERS, 5, 1)
+    best = found.orderBy(F.desc(pr.grid(F.col("macro_f1"))), "candidate").limit(1)
+    tenths = F.transform("weights", lambda w: F.round(w * 10).cast("int").cast("string"))
+    return rounded(best.select(F.array_join(tenths, ",").alias("tenths"), "macro_f1"), ["macro_f1"])
+
+
 @query("ens3_apply_weights", sql(fx.SPLIT_SQL + "," + fx.MEMBER_PROBS_SQL.replace(
     fx.COMMITS_SQL + ",", "") + """,
 tp AS (SELECT m.* FROM mprob m JOIN splits USING (commit_id) WHERE split = 'test'),"""

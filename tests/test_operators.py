@@ -130,13 +130,17 @@ def test_percentiles_are_exact(spark, seed):
     assert got["b"] == pytest.approx(list(np.percentile(b, [p * 100 for p in points])))
 
 
-def test_running_accuracy(spark):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_running_accuracy(spark, parts):
+    """Text ids, several runs of different lengths, one of them without a name."""
     rng = random.Random(3)
-    flags = [rng.randint(0, 1) for _ in range(230)]
-    df = spark.createDataFrame([(i * 7, f, "r") for i, f in enumerate(flags)], "commit_id long, correct int, run string")
-    numbered = evaluation.positions(df, "commit_id", ["run"], width=100)
-    got = {r.idx: r.accuracy for r in evaluation.running_accuracy(numbered, ["run"], 20, blocks=3).collect()}
-    assert got == {n: pytest.approx(sum(flags[:n]) / n) for n in range(20, 231, 20)}
+    flags = {run: [rng.randint(0, 1) for _ in range(n)] for run, n in (("a", 230), ("b", 41), (None, 60), ("d", 5))}
+    rows = [(f"{i:04d}x", f, run) for run, some in flags.items() for i, f in enumerate(some)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "commit_id string, correct int, run string")
+    got = {(r.run, r.idx): r.accuracy for r in evaluation.running_accuracy(df, ["run"], 20, parts=parts).collect()}
+    assert got == {(run, n): pytest.approx(sum(some[:n]) / n) for run, some in flags.items()
+                   for n in range(20, len(some) + 1, 20)}
 
 
 def plain_vote(preds, weights):
@@ -170,10 +174,35 @@ def test_argmax_ties_and_order(spark):
     assert [x.label for x in rows[0].o] == ["fix", "docs", "feat", "refactor", "test"]
 
 
-def test_candidate_weights():
-    points = voting.candidate_weights(4)
+def test_candidate_weights(spark):
+    points = [tuple(r.units) for r in voting.grid_weights(spark, 4, 10).collect()]
     assert len(points) == 286 and len(set(points)) == 286
-    assert all(abs(sum(p) - 1) < 1e-9 for p in points) and max(points[0]) <= 0.3
+    assert all(sum(p) == 10 and min(p) >= 0 for p in points)
+    one = spark.createDataFrame([([1, 2, 0, 2],)], "units array<int>")
+    near = {tuple(r.units) for r in voting.nearby_weights(one, 4).collect()}
+    assert near == {p for p in points if all(abs(x - 2 * u) <= 1 for x, u in zip(p, (1, 2, 0, 2)))}
+    middle = spark.createDataFrame([([3] * 6,)], "units array<int>")
+    assert voting.nearby_weights(middle, 6).count() == voting.nearby_count(6)
+
+
+def test_refined_search_over_eight_members(spark):
+    """Two members are right where the others are not; the search finds a mix that is always right."""
+    rng = random.Random(8)
+    names, rows = [f"m{k}" for k in range(8)], []
+    for i in range(80):
+        gold = CLASSES[i % 5]
+        for k, name in enumerate(names):
+            sure = (k == 2 and i < 40) or (k == 5 and i >= 40)
+            p = [0.05 + rng.random() * 0.3 for _ in CLASSES]
+            p[CLASSES.index(gold)] += 1.5 if sure else 0.0
+            rows.append((i, gold, name, [x / sum(p) for x in p]))
+    df = spark.createDataFrame(rows, "commit_id int, gold string, member string, probs array<double>")
+    found = voting.refined_weights(df, names, coarse=2, rounds=2)
+    weights = {r.member: r.weight for r in voting.best_weights(found, names).collect()}
+    assert found.agg(F.max("macro_f1")).first()[0] == pytest.approx(1.0)
+    assert abs(sum(weights.values()) - 1) < 1e-9 and weights["m2"] > 0.2 and weights["m5"] > 0.2
+    with pytest.raises(ValueError):
+        voting.search_weights(df, names, 10)
 
 
 def plain_char_grams(text):
