@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,6 +167,50 @@ class TextClassifier:
         return self.probabilities(df).withColumns({
             "pred": F.get(class_array(), best), "confidence": F.get(F.col("probs"), best)})
 
+    def gradient(
+        self, train: DataFrame, inverse_regularisation: float = fv.INVERSE_REGULARISATION,
+    ) -> DataFrame:
+        """``(part, idx, gradient array<double>)`` of the penalised loss at these coefficients.
+
+        The loss is the class-weighted mean over ``train``; the penalty is half the squared
+        coefficients, without intercepts, over the inverse strength and the number of rows.
+        At the optimum every component is zero. Terms are summed by feature in Spark, so what
+        is shuffled is bounded by the vocabulary and not by the rows.
+        """
+        p = self.parameters
+        n = train.count()
+        labelled = attach_class_weights(train)
+        total = F.broadcast(labelled.agg(F.sum("weight").alias("total")))  # one row
+        known = labelled.join(total).select(
+            "commit_id", (F.col("weight") / F.col("total")).alias("share"), class_index(F.col("label")).alias("c"),
+            *[((F.col(x) - p.means[i]) / p.stds[i]).alias(f"x{i}") for i, x in enumerate(fv.NUMERIC_COLUMNS)])
+        left = F.transform("probs", lambda q, k: (q - (k == F.col("c")).cast("double")) * F.col("share"))
+        residuals = materialise(self.probabilities(train).join(known, "commit_id").select(
+            "commit_id", left.alias("r"), *[f"x{i}" for i in range(len(p.means))]), "residuals")
+
+        def sums(by: Column) -> Column:
+            return F.array(*[F.sum(by * F.col("r")[k]) for k in range(K)])
+
+        weighted = tfidf.tfidf(train, BLOCKS, self.terms, p.max_terms)
+        by_term = weighted.join(residuals.select("commit_id", "r"), "commit_id").groupBy("idx").agg(
+            sums(F.col("weight")).alias("g"))
+        strength = 1.0 / (inverse_regularisation * max(n, 1))
+
+        def penalised(loss: Column, coef: Column) -> Column:
+            return F.zip_with(loss, coef, lambda g, w: g + w * strength).alias("gradient")
+
+        nothing = F.array(*[F.lit(0.0)] * K)
+        of_terms = self.terms.join(by_term, "idx", "left").select(
+            F.col("block").alias("part"), "idx", penalised(F.coalesce("g", nothing), F.col("coef")))
+        others = [F.struct(
+            F.lit("numeric").alias("part"), F.lit(i).alias("idx"), sums(F.col(f"x{i}")).alias("g"),
+            F.array(*[F.lit(w[i]) for w in p.numeric_weights]).alias("coef")) for i in range(len(p.means))]
+        others.append(F.struct(F.lit("intercept").alias("part"), F.lit(0).alias("idx"),
+                               sums(F.lit(1.0)).alias("g"), nothing.alias("coef")))
+        rest = residuals.agg(F.array(*others).alias("o")).select(F.inline("o")).select(
+            "part", "idx", penalised(F.coalesce("g", nothing), F.col("coef")))
+        return of_terms.unionByName(rest)
+
     def verify(self, texts: DataFrame, text: str) -> DataFrame:
         """Class of a text alone: no diff, and raw zeros for the numerics."""
         zeros = [F.lit(0).alias(c) for c in fv.NUMERIC_COLUMNS]
