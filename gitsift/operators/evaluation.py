@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,70 @@ from gitsift.session import materialise, measured
 RUN = ["model", "strategy"]
 
 
+#: Points of the grid that narrows a percentile whose first bracket missed it.
+_GRID = 64
+
+
+def _in_brackets(base: DataFrame, asked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values at the ranks around ``h``, and whether the bracket missed them.
+
+    ``asked`` has, per key and point ``i``: the rank ``h`` from 0, the open interval (``lo``,
+    ``hi``) in which it lies, null for no end, the ``skipped`` values below it, and the bracket
+    ``low``, ``high``. Inside the bracket distinct values are counted; what lies below or above
+    is one count and one extreme.
+    """
+    within = (F.col("lo").isNull() | (F.col("v") > F.col("lo"))) & (
+        F.col("hi").isNull() | (F.col("v") < F.col("hi")))
+    joined = (base.join(asked, list(keys)) if keys else base.join(F.broadcast(asked))).filter(within)
+    zone = F.when(F.col("v") < F.col("low"), 0).when(F.col("v") <= F.col("high"), 1).otherwise(2)
+    point = [*keys, "i", "h", "lo", "hi", "skipped", "low", "high"]
+    grouped = joined.withColumn("zone", zone).groupBy(
+        *point, "zone", F.when(F.col("zone") == 1, F.col("v")).alias("inside")).agg(
+        F.count("*").alias("c"), F.max("v").alias("last"), F.min("v").alias("first"))
+    upto = F.col("skipped") + F.sum("c").over(Window.partitionBy(*keys, "i").orderBy("zone", "inside"))
+    ranked = grouped.select(
+        *point, "zone", "c", upto.alias("upto"), (upto - F.col("c")).alias("before"),
+        F.when(F.col("zone") == 0, F.col("last")).otherwise(F.col("first")).alias("v"))
+
+    def holds(rank: Column) -> Column:
+        return (rank + 1 > F.col("before")) & (rank + 1 <= F.col("upto"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(holds(rank), F.col("v")))
+
+    def deeper(rank: Column, zone: int) -> Column:
+        """A rank in an outer zone, and not that of its value next to the bracket, which is exact."""
+        inner = rank + 1 < F.col("upto") if zone == 0 else rank > F.col("before")
+        return holds(rank) & (F.col("zone") == zone) & inner
+
+    lower, upper = F.floor("h"), F.ceil("h")
+    return ranked.groupBy(*point).agg(
+        at(lower).alias("a"), at(upper).alias("b"),
+        F.bool_or(deeper(lower, 0) | deeper(upper, 0)).alias("below"),
+        F.bool_or(deeper(lower, 2) | deeper(upper, 2)).alias("above"),
+        *[F.coalesce(F.sum(F.when(F.col("zone") == z, F.col("c"))), F.lit(0)).alias(f"c{z}") for z in (0, 1, 2)])
+
+
+def _narrowed(base: DataFrame, missed: DataFrame, keys: Sequence[str], sketch: int) -> DataFrame:
+    """New brackets for missed ranks, from a sketch of the side of the old one where each lies."""
+    below = F.col("below")
+    sides = missed.select(
+        *keys, "i", "h", F.when(below, F.col("lo")).otherwise(F.col("high")).alias("lo"),
+        F.when(below, F.col("low")).otherwise(F.col("hi")).alias("hi"),
+        F.when(below, F.col("skipped")).otherwise(F.col("skipped") + F.col("c0") + F.col("c1")).alias("skipped"),
+        F.when(below, F.col("c0")).otherwise(F.col("c2")).alias("m"))
+    within = (F.col("lo").isNull() | (F.col("v") > F.col("lo"))) & (
+        F.col("hi").isNull() | (F.col("v") < F.col("hi")))
+    joined = (base.join(sides, list(keys)) if keys else base.join(F.broadcast(sides))).filter(within)
+    points = [k / _GRID for k in range(_GRID + 1)]
+    sketched = joined.groupBy(*sides.columns).agg(F.percentile_approx("v", points, sketch).alias("g"))
+    place = (F.col("h") - F.col("skipped")) / F.greatest(F.col("m") - 1, F.lit(1)) * _GRID
+    return sketched.select(
+        *keys, "i", "h", "lo", "hi", "skipped",
+        F.get("g", F.greatest(F.floor(place).cast("int") - 1, F.lit(0))).alias("low"),
+        F.get("g", F.least(F.ceil(place).cast("int") + 1, F.lit(_GRID))).alias("high"))
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, points: Sequence[float], sketch: int = 10_000
 ) -> DataFrame:
@@ -26,47 +91,33 @@ def exact_percentiles(
     A sketch of fixed size first brackets each percentile; then only values
     inside the bracket are kept apart, with their counts, and everything below
     or above is one count and one extreme. So a key's values are never gathered,
-    and the rows ranked per key are about 4/10,000 of its distinct values.
+    and the rows ranked per key are about 4/10,000 of its distinct values. A
+    percentile that lies outside its bracket, as a small sketch may have it, is
+    looked for again on that side of it, with a larger sketch, until all are found.
     """
     base = df.select(*keys, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
     slack = 2.0 / sketch
     low = F.percentile_approx("v", [max(0.0, p - slack) for p in points], sketch)
     high = F.percentile_approx("v", [min(1.0, p + slack) for p in points], sketch)
     bounds = base.groupBy(*keys).agg(F.count("*").alias("n"), low.alias("low"), high.alias("high"))
-    spans = bounds.select(*keys, "n", F.posexplode(F.arrays_zip("low", "high")).alias("i", "b"))
-    brackets = measured(spans, "brackets")
-    joined = base.join(brackets, list(keys)) if keys else base.join(F.broadcast(brackets))
-    zone = F.when(F.col("v") < F.col("b.low"), 0).when(F.col("v") <= F.col("b.high"), 1).otherwise(2)
-    grouped = (
-        joined.select(*keys, "n", "i", "v", zone.alias("zone"))
-        .groupBy(*keys, "n", "i", "zone", F.when(F.col("zone") == 1, F.col("v")).alias("inside"))
-        .agg(F.count("*").alias("c"), F.max("v").alias("last"), F.min("v").alias("first"))
-    )
-    upto = F.sum("c").over(Window.partitionBy(*keys, "i").orderBy("zone", "inside"))
-    position = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, points)), F.col("i") + 1)
-    ranked = grouped.select(
-        *keys, "i", "zone", position.alias("h"), upto.alias("upto"), (upto - F.col("c")).alias("before"),
-        F.when(F.col("zone") == 0, F.col("last")).otherwise(F.col("first")).alias("v"))
-
-    def at(rank: Column) -> Column:
-        inside = (rank + 1 > F.col("before")) & (rank + 1 <= F.col("upto"))
-        return F.max(F.when(inside, F.col("v")))
-
-    def missed(rank: Column) -> Column:
-        """A rank deeper in an outer zone than its value next to the bracket, which is exact."""
-        inside = (rank + 1 > F.col("before")) & (rank + 1 <= F.col("upto"))
-        deeper = ((F.col("zone") == 0) & (rank + 1 < F.col("upto"))) | (
-            (F.col("zone") == 2) & (rank > F.col("before")))
-        return F.bool_or(inside & deeper)
-
-    lower, upper = F.floor("h"), F.ceil("h")
-    found = ranked.groupBy(*keys, "i", "h").agg(
-        at(lower).alias("a"), at(upper).alias("b"), (missed(lower) | missed(upper)).alias("missed"))
-    wrong = F.raise_error(F.lit("a percentile lies outside its bracket; give a larger sketch"))
-    found = found.withColumn("a", F.when(F.col("missed"), wrong.cast("double")).otherwise(F.col("a")))
+    rank = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, points)), F.col("i") + 1)
+    no_end = F.lit(None).cast("double")
+    asked = bounds.select(*keys, "n", F.posexplode(F.arrays_zip("low", "high")).alias("i", "x")).select(
+        *keys, "i", rank.alias("h"), no_end.alias("lo"), no_end.alias("hi"),
+        F.lit(0).cast("long").alias("skipped"), "x.low", "x.high")
+    found = []
+    while True:  # one pass, but where a sketch was too small
+        tried = measured(_in_brackets(base, measured(asked, "brackets"), keys), "percentiles")
+        missed = F.col("below") | F.col("above")
+        found.append(tried.filter(~missed).select(*keys, "i", "h", "a", "b"))
+        if tried.filter(missed).isEmpty():
+            break
+        sketch *= 16
+        asked = _narrowed(base, tried.filter(missed), keys, min(sketch, 10_000))
     result = F.col("a") + (F.col("b") - F.col("a")) * (F.col("h") - F.floor("h"))
     pairs = F.sort_array(F.collect_list(F.struct(F.col("i"), result.alias("p"))))
-    return found.groupBy(*keys).agg(F.transform(pairs, lambda s: s["p"]).alias("percentiles"))
+    return reduce(DataFrame.unionByName, found).groupBy(*keys).agg(
+        F.transform(pairs, lambda s: s["p"]).alias("percentiles"))
 
 
 def latency_summary(rows: DataFrame, keys: Sequence[str] = RUN) -> DataFrame:

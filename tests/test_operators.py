@@ -130,6 +130,20 @@ def test_percentiles_are_exact(spark, seed):
     assert got["b"] == pytest.approx(list(np.percentile(b, [p * 100 for p in points])))
 
 
+@pytest.mark.parametrize("sketch", [2, 3, 9])
+def test_percentiles_are_exact_with_sketches_far_too_small(spark, sketch):
+    """Brackets miss, and are narrowed until every rank is found; also without keys."""
+    rng = np.random.default_rng(sketch)
+    values = np.concatenate([rng.normal(size=700), np.full(200, 0.5), [-40.0, 40.0, 7.0]])
+    df = spark.createDataFrame([(float(x), "a") for x in values] + [(1.0, "b")], "v double, k string")
+    points = [0.0, 0.01, 0.31, 0.5, 0.77, 0.999, 1.0]
+    want = pytest.approx(list(np.percentile(values, [p * 100 for p in points])))
+    got = {r.k: r.percentiles for r in evaluation.exact_percentiles(df, ["k"], "v", points, sketch=sketch).collect()}
+    assert got == {"a": want, "b": pytest.approx([1.0] * len(points))}
+    alone = evaluation.exact_percentiles(df.filter("k = 'a'"), [], "v", points, sketch=sketch).collect()
+    assert [r.percentiles for r in alone] == [want]
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_running_accuracy(spark, parts):
     """Text ids, several runs of different lengths, one of them without a name."""
