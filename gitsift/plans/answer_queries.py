@@ -38,8 +38,11 @@ pool AS MATERIALIZED (SELECT label AS type,
 
 
 def few_shot_examples(spark, sf_dir):
+    """One row: an example per class. Diffs one character longer than prompts show are as good
+    as whole ones, and bound what is sent to all tasks."""
     train = fx.splits(spark, sf_dir).filter(F.col("split") == "train")
-    return sampling.as_examples(sampling.few_shot_pool(train))
+    shown = F.substring("diff", 1, max(fv.GENERATE_EXAMPLE_LIMIT, fv.CLASSIFY_EXAMPLE_LIMIT) + 1)
+    return sampling.as_examples(sampling.few_shot_pool(train).withColumn("diff", shown))
 
 
 def prompt_digests(df, make, strategies):
@@ -65,11 +68,10 @@ SELECT commit_id, """ + digests_sql({
     "chain_of_thought": fenced_sql("diff_text", 3500) + " || "
                         + lit_sql("\n\n" + fv.GENERATE_REASONING_TAIL),
     "json_mode": fenced_sql("diff_text", 3500) + " || " + lit_sql("\n\n" + fv.GENERATE_JSON_TAIL),
-}) + " FROM splits, shots WHERE split = 'test'"))
+}) + " FROM splits, shots"))
 def str6(spark, sf_dir):
-    """Four prompts per test commit; the example pool is one row of one example per class."""
-    test = fx.splits(spark, sf_dir).filter(F.col("split") == "test")
-    df = test.join(F.broadcast(few_shot_examples(spark, sf_dir)))
+    """Four prompts per commit; the example pool is one row of one example per class."""
+    df = fx.splits(spark, sf_dir).join(F.broadcast(few_shot_examples(spark, sf_dir)))
     return prompt_digests(
         df, lambda s: prompts.generation_prompt(s, F.col("diff_text"), F.col("examples")),
         prompts.STRATEGIES)
@@ -87,10 +89,9 @@ SELECT commit_id, """ + digests_sql({
                 + lit_sql("\nType:"),
     "json_mode": lit_sql("Commit message:\n") + " || message_clean || " + lit_sql("\n\n") + " || "
                  + fenced_sql("diff_text", 2500) + " || " + lit_sql("\n\n" + fv.CLASSIFY_JSON_TAIL),
-}) + " FROM splits, shots WHERE split = 'test'"))
+}) + " FROM splits, shots"))
 def str7(spark, sf_dir):
-    test = fx.splits(spark, sf_dir).filter(F.col("split") == "test")
-    df = test.join(F.broadcast(few_shot_examples(spark, sf_dir)))
+    df = fx.splits(spark, sf_dir).join(F.broadcast(few_shot_examples(spark, sf_dir)))
     return prompt_digests(
         df, lambda s: prompts.classification_prompt(
             s, F.col("message_clean"), F.col("diff_text"), F.col("examples")),

@@ -432,28 +432,27 @@ def agg7_repository(spark, sf_dir):
 
 # --- verifier and hybrid generation -----------------------------------------
 PARSED_WITH_VERIFIER = aq.ANSWERS_SQL + "," + fx.MEMBER_PROBS_SQL.replace(fx.COMMITS_SQL + ",", "") + f""",
-ver AS (SELECT commit_id, {NAMES}[{ARGMAX}] AS v, round(probs[{ARGMAX}], 6) AS vc FROM mprob
-  WHERE member_idx = 0),
-dec AS (SELECT p.*, v, vc, (parsed_type IS NULL OR (parsed_type <> v AND vc >= 0.6)) AS type_changed
+ver AS (SELECT commit_id, member, {NAMES}[{ARGMAX}] AS v, round(probs[{ARGMAX}], 6) AS vc FROM mprob),
+dec AS (SELECT p.*, member, v, vc, (parsed_type IS NULL OR (parsed_type <> v AND vc >= 0.6)) AS type_changed
   FROM parsed_rows p JOIN ver USING (commit_id)),
 fin AS (SELECT *, CASE WHEN type_changed OR parsed_type NOT IN {fx.TARGETS} THEN v ELSE parsed_type END
   AS final_type FROM dec)"""
 
 
 @query("hyb2_reconcile", sql(PARSED_WITH_VERIFIER, f"""
-SELECT commit_id, model, strategy, final_type, type_changed,
+SELECT commit_id, member, model, strategy, final_type, type_changed,
   type_changed OR parsed_type NOT IN {fx.TARGETS} AS replaced,
   trim(final_type || CASE WHEN scope <> '' THEN '(' || scope || ')' ELSE '' END || ': '
     || pred_subject, {fx.WS}) AS final_message FROM fin"""))
 def hyb2(spark, sf_dir):
-    """Types reconciled with a verifier that is given: the first member's probabilities."""
+    """Types reconciled with verifiers that are given: every member's probabilities."""
     rows = evaluation.generation_rows(fx.responses(spark, sf_dir))
-    given = fx.member_probabilities(spark, sf_dir).filter(F.col("member_idx") == 0).select(
-        "commit_id", pr.best(F.col("probs")).alias("b"))
-    opinions = given.select("commit_id", F.col("b.label").alias("verifier_type"),
+    given = fx.member_probabilities(spark, sf_dir).select(
+        "commit_id", "member", pr.best(F.col("probs")).alias("b"))
+    opinions = given.select("commit_id", "member", F.col("b.label").alias("verifier_type"),
                             F.round("b.confidence", 6).alias("verifier_confidence"))
     done = hybrid.reconcile(rows.join(opinions, "commit_id"))
-    return done.select("commit_id", "model", "strategy", "final_type", "type_changed", "replaced",
+    return done.select("commit_id", "member", "model", "strategy", "final_type", "type_changed", "replaced",
                        "final_message")
 
 
@@ -482,6 +481,49 @@ def hyb2_full(spark, sf_dir):
         corpus_vectors=fq.corpus_vectors(spark, sf_dir)))
 
 
+#: Answers of every run with the stated model's opinion of the message that each one gives.
+VERIFIED_SQL = stated_sql(aq.ANSWERS_SQL.replace(fx.COMMITS_SQL + ",", "") + f""",
+told AS (SELECT *, CASE WHEN raw = '' THEN '' WHEN pred_subject <> '' THEN pred_subject
+  ELSE regexp_split_to_array(raw, {fx.NL})[1] END AS verifier_text FROM parsed_rows),
+asked AS (SELECT DISTINCT verifier_text AS commit_id, verifier_text AS message_clean, '' AS diff_text,
+  0 AS files_changed, 0 AS lines_added, 0 AS lines_removed FROM told)""") + f""",
+verified AS MATERIALIZED (SELECT told.*, {NAMES}[{ARGMAX}] AS v, probs[{ARGMAX}] AS vc
+  FROM told JOIN stated ON stated.commit_id = verifier_text),
+dec AS (SELECT *, parsed_type IS NULL OR (parsed_type <> v AND vc >= 0.6) AS type_changed FROM verified),
+fin AS (SELECT *, CASE WHEN type_changed OR parsed_type NOT IN {fx.TARGETS} THEN v ELSE parsed_type END
+  AS final_type FROM dec)"""
+
+
+HYBRID_PROMPTS_SQL = fq.TRAIN_SQL + "," + fq.D_SQL + "," + fq.weights_sql("cw", "d", "d_v") + f""",
+asked AS (SELECT commit_id, diff_text AS q FROM splits WHERE split = 'test' AND trim(diff_text, {fx.WS}) <> ''),""" \
+    + fq.counts_sql("asked", "qc", "q", "char") + "," + fq.weights_sql("qw", "qc", "d_v") + "," \
+    + fq.nearest_sql("qw", "cw", "asked") + """,
+shots AS (SELECT query_id, count(*) AS n, string_agg(""" + aq.fenced_sql("diff_text", 1500) + """ || chr(10)
+    || 'Commit message: ' || label || ': ' || substring(split_part(message_clean, chr(10), 1), 1, 120), """ \
+    + aq.lit_sql(fv.EXAMPLE_SEPARATOR) + """ ORDER BY rank) AS shown
+  FROM near JOIN train ON train.commit_id = near.id GROUP BY query_id)
+SELECT commit_id, coalesce(n, 0) AS n_examples, md5(CASE WHEN n IS NULL
+    THEN """ + aq.fenced_sql("diff_text", 3500) + " || " + aq.lit_sql("\n\nCommit message:") + """
+    ELSE shown || """ + aq.lit_sql(fv.EXAMPLE_SEPARATOR) + " || " + aq.fenced_sql("diff_text", 3500) + " || " \
+    + aq.lit_sql("\nCommit message:") + """ END) AS prompt_md5
+FROM splits LEFT JOIN shots ON query_id = commit_id WHERE split = 'test'"""
+
+
+@query("hyb2_stated_generation", f"""
+SELECT commit_id, model, strategy, prompt_md5, CAST(n_examples AS INTEGER) AS n_examples, parsed_type,
+  verifier_type, verifier_confidence, final_type, type_changed, final_message
+FROM ({sql(HYBRID_PROMPTS_SQL)}) JOIN ({sql(VERIFIED_SQL, f"""
+  SELECT commit_id, model, strategy, parsed_type, v AS verifier_type, round(vc, 6) AS verifier_confidence,
+    final_type, type_changed, trim(final_type || CASE WHEN scope <> '' THEN '(' || scope || ')' ELSE '' END
+      || ': ' || pred_subject, {fx.WS}) AS final_message FROM fin""")}) USING (commit_id)""")
+def hyb2_stated(spark, sf_dir):
+    """The whole chain for test commits with the stated model as verifier."""
+    return hybrid_shown(hybrid.hybrid(
+        part(spark, sf_dir, "test"), fq.train_of(spark, sf_dir), fx.responses(spark, sf_dir),
+        fq.fitted_terms(spark, sf_dir), stated_model(spark, sf_dir),
+        corpus_vectors=fq.corpus_vectors(spark, sf_dir)))
+
+
 @query("hyb3_hybrid_from_raw_diff")
 def hyb3(spark, sf_dir):
     """The same from raw multi-file diffs."""
@@ -516,6 +558,33 @@ def str7_retrieval(spark, sf_dir):
                      F.length(text).alias("prompt_chars"))
 
 
+@query("evl1_stated_agreement", sql(VERIFIED_SQL, """
+SELECT commit_id, model, strategy, v AS verifier_type, CAST(v = gold AS INTEGER) AS agreement FROM verified"""))
+def evl1_stated(spark, sf_dir):
+    rows = evaluation.generation_rows(fx.responses(spark, sf_dir)).drop("rouge_l")
+    agreed = hybrid.agreement(hybrid.verified(rows, stated_model(spark, sf_dir)))
+    return agreed.select("commit_id", "model", "strategy", "verifier_type", "agreement")
+
+
+@query("evl2_stated_summary", sql(VERIFIED_SQL, f"""
+SELECT model, strategy, count(*) AS n,
+  round(avg(CAST(coalesce(parsed_type = gold, false) AS INT)), 6) AS type_exact_match,
+  round(avg(CAST(coalesce(parsed_type IN {fx.TARGETS}, false) AS INT)), 6) AS type_in_target,
+  round(avg(CAST(v = gold AS INT)), 6) AS classifier_agreement,
+  round(avg(CAST(parsed_type IS NULL AS INT)), 6) AS parse_failure_rate,
+  round(avg(completion_tokens), 6) AS completion_tokens_mean,
+  round(quantile_cont(latency_ms, 0.5), 6) AS latency_ms_p50,
+  round(quantile_cont(latency_ms, 0.95), 6) AS latency_ms_p95,
+  round(avg(latency_ms), 6) AS latency_ms_mean
+FROM verified GROUP BY model, strategy"""))
+def evl2_stated(spark, sf_dir):
+    """The summary of every run with the stated verifier; BLEU and ROUGE-L have their own checks."""
+    rows = evaluation.generation_rows(fx.responses(spark, sf_dir))
+    agreed = materialise(hybrid.agreement(hybrid.verified(rows, stated_model(spark, sf_dir))), "rows")
+    df = evaluation.generation_summary(agreed).drop("rouge_l_mean", "bleu")
+    return rounded(df, [c for c in df.columns if c not in ("model", "strategy", "n")])
+
+
 @query("evl1_verifier_agreement")
 def evl1(spark, sf_dir):
     rows = evaluation.generation_rows(fx.responses(spark, sf_dir)).drop("rouge_l")

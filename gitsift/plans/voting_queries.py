@@ -194,13 +194,12 @@ def top8(spark, sf_dir):
 @query("src13_stored_probabilities", sql(fx.SPLIT_SQL + "," + fx.MEMBER_PROBS_SQL.replace(
     fx.COMMITS_SQL + ",", ""), """
 SELECT commit_id, member AS model, split, round(probs[1], 6) AS p_feat, round(probs[2], 6) AS p_fix
-FROM mprob JOIN splits USING (commit_id) WHERE split = 'val' AND member = 'codebert'"""))
+FROM mprob JOIN splits USING (commit_id)"""))
 def src13(spark, sf_dir):
-    """Probabilities stored per model and split; one model's split is read back."""
+    """Probabilities stored per model and split, and read back, each from its folder."""
     df = split_probabilities(spark, sf_dir).withColumnRenamed("member", "model")
     stored = corpus.write_table(df, new_path(spark, "probabilities"), ["model", "split"])
-    one = stored.filter((F.col("split") == "val") & (F.col("model") == "codebert"))
-    return one.select("commit_id", "model", "split", F.round(F.col("probs")[0], 6).alias("p_feat"),
+    return stored.select("commit_id", "model", "split", F.round(F.col("probs")[0], 6).alias("p_feat"),
                       F.round(F.col("probs")[1], 6).alias("p_fix"))
 
 
