@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gitsift.llm.common import map_batches
+from gitsift.session import materialise
 
 # Elements of HTML by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -301,6 +302,7 @@ def learn_weights(pages: DataFrame) -> dict[str, float]:
     counts = (map_batches(pages.select("html"), run, "feature string, inside boolean, n long")
               .groupBy("feature").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("inside"),
                                       F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("outside")))
+    counts = materialise(counts, "features")  # read twice below, and counted once
     is_mark = F.col("feature").startswith("mark ")
     # Marks may be as many as there are authors: the bound is on what is kept of them.
     kept = counts.filter(~is_mark).unionByName(counts.filter(is_mark).orderBy(
