@@ -40,20 +40,84 @@ def edited(text, edits, rng):
     return " ".join("".join(out).split())
 
 
-def test_searches_equal_brute_force():
+def plain_search(items, texts):
+    """Fewest edits and number of passages found per (text, item), by comparing all with all."""
+    found = {}
+    for k, text in enumerate(texts):
+        for number, item in enumerate(items):
+            parts = [item[a:b] for a, b in decontam.passages(item)]
+            edits = [(semi_global(p, text), decontam.edit_budget(len(p))) for p in parts if p]
+            good = [e for e, most in edits if e <= most]
+            if good:
+                found[k, number] = (min(good), len(good))
+    return found
+
+
+def compared(items, texts):
+    found = decontam.Items(list(range(len(items))), items).search(texts)
+    want = plain_search(items, texts)
+    assert {(a, b): (edits, n) for a, b, _, _, edits, n in found} == want
+    for text, item, start, end, edits, _ in found:
+        region = texts[text][start:end]
+        assert any(semi_global(items[item][a:b], region) == edits for a, b in decontam.passages(items[item]))
+    return want
+
+
+def test_searches_equal_brute_force(monkeypatch):
     rng = random.Random(7)
-    items = decontam.Items([1, 2, 3], ITEMS)
     filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor"
-    for _ in range(150):
-        k = rng.randrange(2)
-        text = f"{filler} {edited(ITEMS[k], rng.randint(0, 9), rng)} {filler}"
-        found = {(a, b): (s, e, d) for a, b, s, e, d in items.search(["", text, filler])}
-        best = semi_global(ITEMS[k], text)
-        assert ((1, k) in found) == (best <= items.edits[k])
-        if (1, k) in found:
-            start, end, edits = found[1, k]
-            assert edits == best == semi_global(ITEMS[k], text[start:end])
-        assert not any(a != 1 for a, _ in found)
+    phrase = "which of the following is true"
+    items = [*ITEMS, ITEMS[0][:12], ITEMS[1][:15], ITEMS[1][20:37], "ab", "", ITEMS[0], "aaaaaaaaaaaaaaaaaaaaaaaa",
+             *(f"{phrase} of {w}" for w in ("red birds", "blue stars in the night", "gold")),
+             " ".join(ITEMS[:2]) + " and " + " ".join(reversed(ITEMS[1].split()))]
+    seen = set()
+    for trial in range(60):
+        texts = ["", filler, "a" * rng.randint(20, 300)]
+        for _ in range(3):
+            item = rng.choice(items)
+            at = rng.randrange(max(1, len(item) // 2))
+            part = item[at:at + rng.randint(len(item) // 3, len(item))] if rng.random() < 0.4 else item
+            part = edited(part, rng.randint(0, len(part) * 15 // 100), rng) if part else part
+            texts.append(rng.choice([part, f"{filler} {part} {filler}", f"{part}{filler}", f"{filler}{part}"]))
+        # Few hits and bands at a time: the parts must give what the whole gives.
+        monkeypatch.setattr(decontam, "HITS_AT_ONCE", rng.choice([1, 50, 1 << 22]))
+        monkeypatch.setattr(decontam, "BANDS_AT_ONCE", rng.choice([1, 7, 1 << 12]))
+        seen |= set(compared(items, texts).values())
+    assert len({e for e, _ in seen}) >= 6 and len({n for _, n in seen}) >= 4
+
+
+@pytest.mark.parametrize("size", [12, 13, 17, 18, 19, 40, 64, 150])
+def test_every_length_has_its_budget(size):
+    rng = random.Random(size)
+    item = "".join(rng.choice("abcdefghijklmnop") for _ in range(size))
+    budget = decontam.edit_budget(min(size, decontam.PASSAGE))
+    assert budget == {12: 1, 13: 1, 17: 1, 18: 2, 19: 2, 40: 4}.get(size, 7)
+    for _ in range(20):
+        text = list(item)
+        for at in rng.sample(range(size), budget):
+            text[at] = "#"
+        assert (0, 0) in compared([item], [f"some words {''.join(text)} more words"])
+
+
+def test_halves_of_long_items_are_found():
+    rng = random.Random(3)
+    item = " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(22))[:150]
+    for half in (item[:75], item[75:]):
+        assert compared([item], [f"before {half} behind"]) != {}
+    assert compared([item], [f"before {item[:40]} behind"]) == {}
+
+
+def test_phrases_of_many_items_are_no_leaks():
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+    phrase = "which of the following is true"
+    items = [f"{words(3)} {phrase} {words(3)}" for _ in range(1000)]
+    texts = [f"{words(40)} {phrase} {words(40)}" for _ in range(20)]
+    found = decontam.Items(list(range(1000)), items).search([*texts, f"x {items[7]} y"])
+    assert (20, 7) in {(f[0], f[1]) for f in found} and {f[0] for f in found} == {20}
 
 
 def test_leaks_of_rows_and_shards(spark):
