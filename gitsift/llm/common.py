@@ -36,6 +36,20 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def one_of_equals(df: DataFrame) -> DataFrame:
+    """Of rows equal in doc_id and text, one: that of the smallest hash of its other columns.
+
+    The hash is taken of the columns as JSON, so any type may be among them.
+    """
+    rest = [name for name in df.columns if name not in ("doc_id", "text")]
+    if not rest:
+        return df.distinct()
+    row = F.struct(*(F.col(f"`{name}`") for name in rest))
+    chosen = df.groupBy("doc_id", "text").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_gs_row"))
+    return chosen.select(*(F.col("_gs_row").getField(name).alias(name) if name in rest else F.col(name)
+                           for name in df.columns))
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str) -> DataFrame:
     """``mapInArrow`` for a function of one batch; ``None`` gives no rows."""

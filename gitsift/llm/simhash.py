@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gitsift.llm.common import map_batches, texts_of
+from gitsift.llm.common import map_batches, one_of_equals, texts_of
 from gitsift.llm.components import smallest_reachable
 from gitsift.session import materialise, measured
 
@@ -271,12 +271,14 @@ def components(df: DataFrame, max_distance: int = MAX_DISTANCE, sections=SECTION
 
 
 def keep_one(df: DataFrame, **options) -> DataFrame:
-    """One row of each component, that of the smallest doc_id, with all columns of ``df``.
+    """One document of each component, that of the smallest doc_id, with all columns of ``df``.
 
-    Rows without doc_id stay. Of repeated rows of one doc_id one stays.
+    Rows without doc_id stay. Of rows equal in doc_id and text one stays, always the same
+    one. Different texts under the kept doc_id all stay, since other documents may have been
+    dropped for any of them.
     """
     found = components(df, **options).select(F.col("doc_id").alias("_gs_id"), "component_id")
     kept = found.filter("_gs_id = component_id").select("_gs_id").distinct()
     named = df.filter("doc_id IS NOT NULL")
-    return (named.join(kept, F.col("doc_id") == F.col("_gs_id"), "left_semi")
-            .dropDuplicates(["doc_id"]).unionByName(df.filter("doc_id IS NULL")))
+    named = named.join(kept, F.col("doc_id") == F.col("_gs_id"), "left_semi")
+    return one_of_equals(named).unionByName(df.filter("doc_id IS NULL"))

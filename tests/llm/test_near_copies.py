@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from gitsift.llm import near_copies
+from gitsift.llm import near_copies, simhash
 
 
 def sets_of(rows):
@@ -81,6 +81,21 @@ def test_pipeline_stage_drops_near_copies_of_other_fingerprints(spark, sf_dir):
     assert kept == brute_kept(rows) == list(range(0, 60, 2))
 
 
+@pytest.mark.parametrize("keep_one", [near_copies.keep_one, simhash.keep_one])
+def test_texts_of_one_id_all_stay(spark, keep_one):
+    """Document 9 goes for one text of document 1: neither of that one's texts may go then."""
+    first, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    rows = [(1, first, "x", {"k": 1}), (1, other, "y", None), (1, other, "z", {}), (1, first, "x", {"k": 1}),
+            (9, other, "w", None), (9, other, None, None), (None, first, "n", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, m map<string, int>")
+    found = [keep_one(part).collect() for part in (df, df.repartition(5, "`a.b`"), df.orderBy("`a.b`"))]
+    for out in found:
+        assert sorted((r.doc_id or 0, r.text) for r in out) == [(0, first), (1, first), (1, other)]
+        assert {r["a.b"] for r in out} == {r["a.b"] for r in found[0]}
+    assert keep_one(df).columns == df.columns
+    assert keep_one(df.select("text", "doc_id")).columns == ["text", "doc_id"]
+
+
 def test_near_copies_of_an_empty_table(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string").limit(0)
     assert near_copies.keep_one(df).count() == 0
