@@ -15,14 +15,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gitsift.llm import bpe, decontam, lines, near_copies, quality
+from gitsift.llm import bpe, decontam, lines, near_copies, quality, simhash
 from gitsift.session import materialise
 
 #: The stage language, SQL, has no suffix orders, hashes with seeds or merges by rank.
 ORACLE_SQL = None
 
-#: Near copies share four fifths of their five-word shingles or more. No number of differing
-#: fingerprint bits says so, so the stage compares the shingles themselves.
+#: Near copies have SimHash fingerprints of five-word shingles that are within the operator's
+#: bits, or share four fifths of those shingles or more. No number of differing bits finds all
+#: of the latter, so an exact check follows the fingerprints.
 SHINGLE_WORDS = 5
 SIMILARITY = (4, 5)
 
@@ -39,7 +40,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id."""
-    return near_copies.keep_one(docs, shingle_words=SHINGLE_WORDS, similarity=SIMILARITY)
+    return near_copies.keep_one(docs, shingle_words=SHINGLE_WORDS, similarity=SIMILARITY,
+                                fingerprint_bits=simhash.MAX_DISTANCE)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

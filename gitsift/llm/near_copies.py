@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gitsift.llm import simhash
 from gitsift.llm.common import map_batches, one_of_equals, texts_of
 from gitsift.llm.components import smallest_reachable
 from gitsift.session import materialise, spread
@@ -231,15 +232,35 @@ def links(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMIL
     return found.unionByName(linked(rest))
 
 
-def components(df: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMILARITY) -> DataFrame:
-    """doc_id, component_id of every row that has a doc_id."""
+def fingerprint_links(texts: DataFrame, shingle_words: int, bits: int) -> DataFrame:
+    """Edges a, b that join all rows (id, text) whose SimHash fingerprints are that near."""
+    prints = materialise(simhash.fingerprints(
+        texts.select(F.col("id").alias("doc_id"), "text"), shingle_words), "fingerprints")
+    nodes = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("id")), "nodes")
+    same = prints.join(nodes, "fingerprint").filter("doc_id <> id").select(
+        F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    return simhash.links(nodes, bits).unionByName(same)
+
+
+def components(df: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMILARITY,
+               fingerprint_bits: int | None = None) -> DataFrame:
+    """doc_id, component_id of every row that has a doc_id.
+
+    With ``fingerprint_bits``, SimHash fingerprints that differ in no more bits link first,
+    and the exact comparison of sets follows for the similar pairs that they miss.
+    """
     named = df.filter("doc_id IS NOT NULL").select("doc_id", "text")
     keys = materialise(set_keys(named, shingle_words), "set_keys")
     nodes = materialise(keys.groupBy("set_key").agg(F.min("doc_id").alias("id")), "nodes")
     # A doc_id with several texts may bring one along that another node stands for: no harm.
     texts = named.join(nodes.select("id").distinct(), F.col("doc_id") == F.col("id"), "left_semi")
     texts = materialise(texts.select(F.col("doc_id").alias("id"), "text").distinct(), "texts")
-    roots = smallest_reachable(links(texts, shingle_words, similarity))
+    if fingerprint_bits is None:
+        edges = links(texts, shingle_words, similarity)
+    else:
+        near = materialise(fingerprint_links(texts, shingle_words, fingerprint_bits), "fingerprint_links")
+        edges = near.unionByName(links(texts, shingle_words, similarity))
+    roots = smallest_reachable(edges)
     classes = (nodes.join(roots, F.col("id") == F.col("node"), "left")
                .select("set_key", F.coalesce("component", "id").alias("component_id")))
     return (keys.join(materialise(classes, "classes"), "set_key")

@@ -120,3 +120,16 @@ def test_sketches_rule_out_unlike_sets_only():
         assert may or not near_copies.similar(a, b)
         ruled_out += not may
     assert ruled_out > 100
+
+
+def test_pipeline_stage_links_by_fingerprints_too(spark, sf_dir):
+    """A long refrain decides the fingerprint, which counts repeats; the sets are unlike."""
+    from corpus_pipeline import near_dedup
+
+    def song(tail):
+        return " ".join(["we sing the same old song again"] * 60 + [f"{tail}{i}" for i in range(20)])
+
+    rows = [(1, song("a")), (2, song("b")), (3, " ".join(f"c{i}" for i in range(60)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert brute_kept(rows) == [1, 2, 3]
+    assert sorted(r.doc_id for r in near_dedup(spark, docs, sf_dir).collect()) == [1, 3]
