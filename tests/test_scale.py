@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gitsift.functions import ngrams
 from gitsift.operators import tfidf
+from gitsift.sources import repository
 
 TEXTS = ["aa bb aa", "", None, "  Größe ÄB\n𝒳𝒴z aa ", "x", "bb bb\taabb", "aa bb aa"]
 
@@ -48,3 +49,17 @@ def test_vectors_take_rows_of_one_id_together(documents):
         assert mine == pytest.approx({k: w / length for k, w in raw.items()}) and list(mine) == sorted(mine)
     kept = {r.commit_id: len(r.idx) for r in tfidf.vectors(documents, tfidf.DIFF, terms, keep_empty=True).collect()}
     assert set(kept) == set(want) and kept[None] == 0
+
+
+def test_a_scan_of_all_commits_stays_in_its_tasks(spark, monkeypatch):
+    monkeypatch.setattr(repository, "TOP_ROWS", 10)
+    files = F.array(F.struct(F.lit("a").alias("old_path"), F.lit("a").alias("new_path"), F.lit("+x").alias("diff")))
+    history = spark.range(0, 60, 1, 6).select(
+        F.col("id").alias("commit_id"), F.md5(F.col("id").cast("string").cast("binary")).alias("hash"),
+        F.lit("u").alias("author"), F.when(F.col("id") % 10 == 0, 2).otherwise(1).alias("n_parents"),
+        F.timestamp_seconds("id").alias("ts"), F.lit("fix: x").alias("message"), files.alias("files"))
+    every = repository.scan(history, 60)
+    assert {r.commit_id for r in every.collect()} == {i for i in range(60) if i % 10}
+    assert every.select(F.spark_partition_id()).distinct().count() == 6
+    newest = repository.scan(history, 20).collect()
+    assert {r.commit_id for r in newest} == set(sorted(i for i in range(60) if i % 10)[-20:])
