@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gitsift.functions.probabilities import as_json
+from gitsift.functions.text import preview
 from gitsift.operators.scoring import Scorer, score
 from gitsift.session import materialise, measured
 from gitsift.sources.history import Log
@@ -90,7 +91,9 @@ def score_csv(
     scored = score(texts, model, scorers)
     if log:
         scored = materialise(scored, "scored")
-        log.write(texts.join(scored, "commit_id").select(
+        # The log keeps previews, so whole texts are not moved for it.
+        shown = rows.select("commit_id", *[preview(F.col(c)).alias(c) for c in ("message", "diff")])
+        log.write(shown.dropDuplicates(["commit_id"]).join(scored, "commit_id").select(
             F.xxhash64("commit_id").alias("id"), F.current_timestamp().alias("ts"), "model",
             F.lit(None).cast("bigint").alias("batch_run_id"), "message", "diff", "label", "confidence",
             "probabilities", F.lit(LOG_SOURCE).alias("source")), batch)

@@ -166,7 +166,8 @@ class Log:
 
     def write(self, scored: DataFrame, batch: int = 0) -> None:
         """Registers the models of ``scored`` (see ``prediction_rows``) and logs its rows."""
-        scored = materialise(scored, "log-batch")  # scoring is dear, and read twice
+        shown = {c: preview(F.col(c)) for c in ("message", "diff")}  # all that the log keeps of them
+        scored = materialise(scored.withColumns(shown), "log-batch")  # scoring is dear, and read twice
         models = registered(scored.select("model", "ts"), self.registry)
         write_batch(prediction_rows(scored, models), self.path, self.writer, batch)
 

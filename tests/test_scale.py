@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gitsift.functions import ngrams
 from gitsift.operators import tfidf
-from gitsift.sources import repository
+from gitsift.sources import history, repository
 
 TEXTS = ["aa bb aa", "", None, "  Größe ÄB\n𝒳𝒴z aa ", "x", "bb bb\taabb", "aa bb aa"]
 
@@ -63,3 +63,22 @@ def test_a_scan_of_all_commits_stays_in_its_tasks(spark, monkeypatch):
     assert every.select(F.spark_partition_id()).distinct().count() == 6
     newest = repository.scan(history, 20).collect()
     assert {r.commit_id for r in newest} == set(sorted(i for i in range(60) if i % 10)[-20:])
+
+
+def test_the_log_stores_no_whole_texts_on_its_way(spark, tmp_path, monkeypatch):
+    seen = []
+
+    def stored(df, name):
+        seen.append(df.agg(F.max(F.length("message")), F.max(F.length("diff"))).first())
+        return df
+
+    monkeypatch.setattr(history, "materialise", stored)
+    rows = spark.range(1).select(
+        "id", F.current_timestamp().alias("ts"), F.lit("cnn_text").alias("model"),
+        F.lit(None).cast("bigint").alias("batch_run_id"), F.repeat(F.lit("m"), 5000).alias("message"),
+        F.repeat(F.lit("d"), 5000).alias("diff"), F.lit("fix").alias("label"), F.lit(0.5).alias("confidence"),
+        F.create_map(F.lit("fix"), F.lit(0.5)).alias("probabilities"), F.lit("x").alias("source"))
+    log = history.Log(str(tmp_path / "registry"), str(tmp_path / "log"), "w")
+    log.write(rows)
+    assert [tuple(x) for x in seen] == [(280, 280)]
+    assert history.read_log(spark, log.path).first().message_preview == "m" * 280
