@@ -3,11 +3,12 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gitsift.functions import ngrams
-from gitsift.operators import tfidf
+from gitsift.functions import ngrams, term_counts
+from gitsift.operators import classifier, tfidf
 from gitsift.sources import history, repository
 
 TEXTS = ["aa bb aa", "", None, "  Größe ÄB\n𝒳𝒴z aa ", "x", "bb bb\taabb", "aa bb aa"]
@@ -51,6 +52,38 @@ def test_vectors_take_rows_of_one_id_together(documents):
     assert set(kept) == set(want) and kept[None] == 0
 
 
+def test_features_take_their_weights_where_these_are_made(spark):
+    rows = [(1, "aa", "x y", 1, 2, 3, "a"), (1, "aa", "y", 4, 5, 6, "b"), (2, "bb aa", None, 7, 8, 9, "a"),
+            (None, "aa", "x y", 1, 1, 1, "c"), (None, "bb", "x", 2, 2, 2, "c")]
+    df = spark.createDataFrame(rows, "commit_id long, message_clean string, diff_text string, "
+                                     "files_changed int, lines_added int, lines_removed int, label string")
+    terms = classifier.numbered(tfidf.fit_vocabulary(df, classifier.BLOCKS, 40, min_df=1)).cache()
+    n = terms.count()
+    found = classifier.feature_columns(df, terms, n, [0.0] * 3, [1.0] * 3, 40, ["label"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    held = sorted((r.commit_id or 0, r.label, r.features.values[-3:], len(r.features.indices) - 3) for r in found.collect())
+    weights = {r.commit_id: len(r.i0) + len(r.i1) for r in tfidf.weighted(df, classifier.BLOCKS, terms).collect()}
+    assert held == [(0, "c", [1, 1, 1], 0), (0, "c", [2, 2, 2], 0), (1, "a", [1, 2, 3], weights[1]),
+                    (1, "b", [4, 5, 6], weights[1]), (2, "a", [7, 8, 9], weights[2])]
+
+
+def test_terms_outside_the_vocabulary_are_left_out_before_documents_are_spelled_out():
+    texts = pa.array(["aa\nbb\naa", "", None, "größe\n𝒳𝒴z\naa"])
+    for analyzer in ("char", "word"):
+        every = term_counts.counted(texts, analyzer)
+        place = {t: i for i, t in enumerate(sorted(set(every.terms) - {""})[::2])}
+        some = term_counts.counted(texts, analyzer, place)
+
+        def counts(c, name):
+            return [Counter({k: n for k, n in sum((Counter({name(x): t}) for x, t in zip(
+                c.number[a:b].tolist(), c.times[a:b].tolist())), Counter()).items() if k is not None})
+                for a, b in zip(c.cuts[:-1], c.cuts[1:])]
+
+        assert counts(some, int) == counts(every, lambda x: place.get(every.terms[x]))
+        assert len(some.number) < len(every.number)
+
+
 def test_a_scan_of_all_commits_stays_in_its_tasks(spark, monkeypatch):
     monkeypatch.setattr(repository, "TOP_ROWS", 10)
     files = F.array(F.struct(F.lit("a").alias("old_path"), F.lit("a").alias("new_path"), F.lit("+x").alias("diff")))
