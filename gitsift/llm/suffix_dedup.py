@@ -95,12 +95,15 @@ def _towards_smaller(places: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return least
 
 
-def longest_previous(order: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """For each place, the longest string from there that also starts at a smaller place."""
+def longest_previous(order: np.ndarray, shared: np.ndarray, size: int | None = None) -> np.ndarray:
+    """For each place, the longest string from there that also starts at a smaller place.
+
+    ``order`` may leave out some of ``size`` places, which then have none.
+    """
     before = _towards_smaller(order, shared)
-    following = np.concatenate((shared[1:], [0]))
+    following = np.append(shared, 0)[1:]
     after = _towards_smaller(order[::-1], following[::-1])[::-1]
-    out = np.empty(len(order), np.int64)
+    out = np.zeros(len(order) if size is None else size, np.int64)
     out[order] = np.maximum(before, after)
     return out
 
@@ -119,9 +122,13 @@ def compare(contents: list[np.ndarray], windows: np.ndarray, copies: np.ndarray,
     for k in range(packed):
         symbols = symbols << 9 | np.where(place + k < end, one[k:k + len(end)], 0)
     order, shared = suffix_order(symbols, end, kind.length, packed)
-    previous = longest_previous(order, shared)
+    nearest = np.maximum(shared, np.concatenate((shared[1:], [0])))
     neighbour = np.empty(len(order), np.int64)
-    neighbour[order] = np.maximum(shared, np.concatenate((shared[1:], [0])))
+    neighbour[order] = nearest
+    # Places that share less than the length with both neighbours have no factor of that length.
+    reach = np.flatnonzero(nearest >= kind.length)
+    least = np.where(shared[reach] >= kind.length, shared[reach], 0)
+    previous = longest_previous(order[reach], least, len(order))
     again, later = [], []
     for start, n, many in zip((ends - sizes).tolist(), windows.tolist(), copies.tolist()):
         again.append((neighbour[start:start + n] >= kind.length) | (many > 1))

@@ -259,3 +259,24 @@ def test_components_of_paths_and_hubs(spark):
     found = components.smallest_reachable(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.component for r in found.collect()} == {
         **{k: 1 for k in range(1, 41)}, **{k: 100 for k in range(100, 130)}, 200: 100}
+
+
+def test_factors_are_sought_only_where_the_length_is_reached(monkeypatch):
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 256, 60, dtype=np.uint8)
+    contents = [np.concatenate((rng.integers(0, 256, 400, dtype=np.uint8), passage)) for _ in range(3)]
+    kind = suffix_dedup.byte_windows(48, 16)
+    sought, whole = [], suffix_dedup.longest_previous
+
+    def seen(order, *rest):
+        sought.append(len(order))
+        return whole(order, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "longest_previous", seen)
+    sizes, copies = np.array([len(c) - 47 for c in contents]), np.ones(3, np.int64)
+    again, later = suffix_dedup.compare(contents, sizes, copies, kind)
+    assert [np.flatnonzero(f).tolist() for f in again] == [list(range(400, 413))] * 3
+    assert [np.flatnonzero(f).tolist() for f in later] == [[], *[list(range(400, 413))] * 2]
+    alone = suffix_dedup.compare(contents[:1], sizes[:1], copies[:1], kind)
+    assert not alone[0][0].any() and not alone[1][0].any()
+    assert sought == [3 * 13, 0]
