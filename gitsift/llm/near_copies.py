@@ -11,7 +11,7 @@ before it becomes a link, so the links are those of a comparison of all pairs.
 * First each document is verified with the first and the previous one at each shingle,
   which is linear. Then all pairs that meet and are not yet of one component, if sizes
   and places allow the similarity.
-* Before texts move, sketches of a bit a shingle drop the pairs that they prove unlike.
+* Before texts move, sizes and sketches of a bit a shingle drop the pairs that they prove unlike.
 
 Rows: null text has no words, so an empty set, which equals other empty sets only. Texts
 of fewer words than a shingle are one shingle. Rows without doc_id link nothing.
@@ -89,7 +89,9 @@ def sketch(found: np.ndarray) -> bytes:
 
 
 def may_be_similar(a: bytes, n_a: int, b: bytes, n_b: int, similarity=SIMILARITY) -> bool:
-    """False only if the sketches show that sets of these sizes lack the similarity."""
+    """False only if the sizes or the sketches show that the sets lack the similarity."""
+    if similarity[1] * min(n_a, n_b) < similarity[0] * max(n_a, n_b):
+        return False  # a short sketch could not tell: folded, the longer one may differ in few bits
     width = min(len(a), len(b))
     # The longer one is folded: its bits of equal low places are one bit of a shorter sketch.
     x, y = (np.bitwise_xor.reduce(np.frombuffer(s, np.uint8).reshape(-1, width), axis=0) for s in (a, b))
@@ -161,7 +163,7 @@ def sketches(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def possible(pairs: DataFrame, known: DataFrame, similarity=SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose sketches (``known``) do not rule the similarity out."""
+    """The pairs (a, b) whose sizes and sketches (``known``) do not rule the similarity out."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = (batch.column(c).to_pylist() for c in ("bits_a", "n_a", "bits_b", "n_b"))

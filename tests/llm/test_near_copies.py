@@ -133,3 +133,13 @@ def test_pipeline_stage_links_by_fingerprints_too(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert brute_kept(rows) == [1, 2, 3]
     assert sorted(r.doc_id for r in near_dedup(spark, docs, sf_dir).collect()) == [1, 3]
+
+
+def test_sizes_rule_pairs_out_that_a_short_sketch_cannot():
+    """Folded to a short sketch, a long one differs in few bits, so sizes must decide."""
+    rng = np.random.default_rng(3)
+    a, b = (np.unique(rng.integers(-2 ** 63, 2 ** 63, n)) for n in (2000, 100))
+    assert not near_copies.similar(a, b)
+    assert not near_copies.may_be_similar(near_copies.sketch(a), len(a), near_copies.sketch(b), len(b))
+    whole, part = np.arange(100), np.arange(80)  # exactly four fifths stay possible
+    assert near_copies.may_be_similar(near_copies.sketch(whole), 100, near_copies.sketch(part), 80)

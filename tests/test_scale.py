@@ -1,12 +1,15 @@
 """Steps that must not hang on one task, or write a row a term, against plain versions."""
 
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gitsift import session
 from gitsift.functions import ngrams, term_counts
 from gitsift.operators import classifier, tfidf
 from gitsift.sources import history, repository
@@ -115,3 +118,23 @@ def test_the_log_stores_no_whole_texts_on_its_way(spark, tmp_path, monkeypatch):
     log.write(rows)
     assert [tuple(x) for x in seen] == [(280, 280)]
     assert history.read_log(spark, log.path).first().message_preview == "m" * 280
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """What is written replaces its shuffles: their files go at once, and the setting is as before."""
+    jvm = spark.sparkContext._jvm
+    folders = list(jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {str(p) for folder in folders for p in Path(folder).rglob("shuffle_*.data")}
+
+    df = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    before = files()
+    table = session.materialise(df, "counted")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(session.CLEAN_UP, None) is None
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, df.collect()))
