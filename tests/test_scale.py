@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gitsift import session
 from gitsift.functions import ngrams, term_counts
-from gitsift.operators import classifier, tfidf
+from gitsift.operators import classifier, scoring, tfidf
 from gitsift.sources import history, repository
 
 TEXTS = ["aa bb aa", "", None, "  Größe ÄB\n𝒳𝒴z aa ", "x", "bb bb\taabb", "aa bb aa"]
@@ -138,3 +138,16 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert not files() - before
     assert spark.conf.get(session.CLEAN_UP, None) is None
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_outside_models_see_a_few_rows_at_a_time(spark):
+    """Each call has a frame of its own; a whole Arrow batch never becomes Python objects."""
+    def predictor(rows):
+        assert rows.index.max() < 100  # a slice of a larger frame would count on
+        return np.repeat([[float(len(rows)), 0, 0, 0, 0]], len(rows), axis=0)
+
+    df = spark.range(250).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("commit_id"), F.lit("x").alias("message_clean")).coalesce(1)
+    rows = scoring.external_scorer(predictor, 100)(df).collect()
+    assert Counter(r.probs[0] for r in rows) == {100.0: 200, 50.0: 50}
+    assert sorted(r.commit_id or 0 for r in rows) == list(range(250))
