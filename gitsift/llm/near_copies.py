@@ -9,7 +9,7 @@ before it becomes a link, so the links are those of a comparison of all pairs.
   passages bring few documents together. It decides the work only, never the links.
 * Equal sets are one row before anything is sent, so exact copies cost nothing.
 * First each document is verified with the first and the previous one at each shingle,
-  which is linear. Then all pairs that meet and are not yet of one component, if sizes
+  which is linear, unless fingerprints have linked them already. Then all pairs that meet and are not yet of one component, if sizes
   and places allow the similarity.
 * Before texts move, sizes and sketches of a bit a shingle drop the pairs that they prove unlike.
 
@@ -126,8 +126,13 @@ def common_shingles(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> tup
     return keys[order], counts[order]
 
 
-def meetings(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMILARITY) -> DataFrame:
-    """key, id, n, at: first shingles that several documents have, the set's size, the place."""
+def meetings(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMILARITY,
+             roots: DataFrame | None = None) -> DataFrame:
+    """key, id, n, at: first shingles that several documents have, the set's size, the place.
+
+    ``before`` and ``first`` are other documents there, null if ``roots`` (node, component) has
+    them in one component already.
+    """
     common, counts = common_shingles(texts, shingle_words)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -141,11 +146,16 @@ def meetings(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SI
             "at": pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]))})
 
     sent = map_batches(texts.select("id", "text"), run, "key long, id long, n int, at int")
+    root = F.col("id")
+    if roots is not None:
+        sent, root = sent.join(roots, F.col("id") == F.col("node"), "left"), F.coalesce("component", "id")
+    named = sent.select("key", "id", "n", "at", F.struct("id", root.alias("root")).alias("own"))
     # Places at a key in order of size: neighbours are the likeliest to be similar.
     group = Window.partitionBy("key").orderBy("n", "id")
-    met = (sent.withColumn("before", F.lag("id").over(group)).withColumn("after", F.lead("id").over(group))
-           .withColumn("first", F.first("id").over(group)))
-    return met.filter("before IS NOT NULL OR after IS NOT NULL").drop("after")
+    met = (named.withColumn("before", F.lag("own").over(group)).withColumn("after", F.lead("id").over(group))
+           .withColumn("first", F.first("own").over(group)).filter("before IS NOT NULL OR after IS NOT NULL"))
+    other = [F.when(F.col(c)["root"] != F.col("own")["root"], F.col(c)["id"]).alias(c) for c in ("before", "first")]
+    return met.select("key", "id", "n", "at", *other)
 
 
 def sketches(texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -202,10 +212,15 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_WO
     return map_batches(joined.select("a", "b", "text_a", "text_b"), run, "a long, b long").distinct()
 
 
-def links(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMILARITY) -> DataFrame:
-    """Edges a, b of rows (id, text): all similar pairs, but for those of one component already."""
+def links(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMILARITY,
+          known_links: DataFrame | None = None) -> DataFrame:
+    """Edges a, b of rows (id, text): all similar pairs, but for those of one component already.
+
+    ``known_links`` (a, b) are among the edges returned, and make components from the start.
+    """
     part, whole = similarity
-    met = materialise(meetings(texts, shingle_words, similarity), "meetings")
+    linked_before = None if known_links is None else materialise(smallest_reachable(known_links), "roots")
+    met = materialise(meetings(texts, shingle_words, similarity, linked_before), "meetings")
 
     def ordered(x, y):
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
@@ -219,6 +234,8 @@ def links(texts: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIMIL
         return verified(spread(likely, "a"), texts, shingle_words, similarity)
 
     found = materialise(linked(tried), "links")
+    if known_links is not None:
+        found = found.unionByName(known_links)
     roots = materialise(smallest_reachable(found), "roots")
     named = (met.select("key", "id", "n", "at").join(roots, F.col("id") == F.col("node"), "left")
              .select("key", "id", "n", "at", F.coalesce("component", "id").alias("root")))
@@ -261,7 +278,7 @@ def components(df: DataFrame, shingle_words: int = SHINGLE_WORDS, similarity=SIM
         edges = links(texts, shingle_words, similarity)
     else:
         near = materialise(fingerprint_links(texts, shingle_words, fingerprint_bits), "fingerprint_links")
-        edges = near.unionByName(links(texts, shingle_words, similarity))
+        edges = links(texts, shingle_words, similarity, near)
     roots = smallest_reachable(edges)
     classes = (nodes.join(roots, F.col("id") == F.col("node"), "left")
                .select("set_key", F.coalesce("component", "id").alias("component_id")))

@@ -143,3 +143,18 @@ def test_sizes_rule_pairs_out_that_a_short_sketch_cannot():
     assert not near_copies.may_be_similar(near_copies.sketch(a), len(a), near_copies.sketch(b), len(b))
     whole, part = np.arange(100), np.arange(80)  # exactly four fifths stay possible
     assert near_copies.may_be_similar(near_copies.sketch(whole), 100, near_copies.sketch(part), 80)
+
+
+def test_known_links_are_not_met_again(spark):
+    """Documents that fingerprints have linked are no pairs of the exact check; others still are."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"tail{i}"])) for i in (1, 2, 3)]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    roots = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
+
+    def pairs(met):
+        return {tuple(sorted((r.id, x))) for r in met.collect() for x in (r.before, r.first) if x is not None and x != r.id}
+
+    assert (1, 2) in pairs(near_copies.meetings(texts))
+    left = pairs(near_copies.meetings(texts, roots=roots))
+    assert (1, 2) not in left and any(3 in p for p in left)
