@@ -20,16 +20,18 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from gitsift.llm.common import sha256_hex, texts_of
+from gitsift.llm.common import sha256_hex, slices, texts_of
 
-#: Chunks and pieces in a worker's young table; the old ones have as many. In all about 130 MB.
-CACHE_CHUNKS, CACHE_PIECES = 200_000, 150_000
+#: Chunks and pieces in a worker's young table; the old ones have as many. In all about 35 MB:
+#: a worker holds them through the stages that follow, beside what those need.
+CACHE_CHUNKS, CACHE_PIECES = 50_000, 40_000
 #: The largest rank file that is sent to the workers.
 MAX_VOCABULARY_BYTES = 32 << 20
 
@@ -184,7 +186,7 @@ def encode(df: DataFrame, path: str, pattern: str, with_offsets: bool = False) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             packed = [codec.pack(t.decode()) for t in texts_of(batch)]
             columns = {"doc_id": batch.column("doc_id"), "ids": pa.array(packed, pa.binary()),
                        "n_tokens": pa.array([len(p) // 4 for p in packed], pa.int64())}
@@ -209,7 +211,7 @@ def decode(df: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             data = [codec.decode(p or b"") for p in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "data": pa.array(data, pa.binary()),
@@ -227,7 +229,7 @@ def round_trip(df: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             counts, ids, decoded = [], [], []
             for text in texts_of(batch):
                 packed = codec.pack(text.decode())

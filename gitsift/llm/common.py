@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 ASCII_SPACE = "\\x20\\x09-\\x0D"
 #: The same characters, to trim by.
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+#: Bytes of a batch that a worker takes apart at once; Spark's own batches are counted in rows.
+SLICE_BYTES = 8 << 20
 
 
 def sha256_hex(data: bytes) -> str:
@@ -50,15 +52,26 @@ def one_of_equals(df: DataFrame) -> DataFrame:
                            for name in df.columns))
 
 
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of that many bytes at most or of one row."""
+    if batch.nbytes <= most or batch.num_rows < 2:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from slices(batch.slice(0, half), most)
+    yield from slices(batch.slice(half), most)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch; ``None`` gives no rows."""
+    """``mapInArrow`` for a function of some rows, ``slices`` of a batch; ``None`` gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = function(batch)
-            if out is not None and out.num_rows:
-                yield out
+            for part in slices(batch):
+                out = function(part)
+                if out is not None and out.num_rows:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

@@ -14,12 +14,13 @@ of itself, and the deepest interval is its longest repeat. Both are limited.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gitsift.llm.common import covered, texts_of
+from gitsift.llm.common import covered, slices, texts_of
 
 # Fixed values of the base rules.
 MIN_WORDS = 50
@@ -163,7 +164,7 @@ def score(df: DataFrame, max_covered: float = MAX_COVERED,
     names = [part.split()[0] for part in STATISTICS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             found = document_statistics(texts_of(batch))
             failed, kept = verdicts(found, max_covered, max_longest)
             columns = {"doc_id": batch.column("doc_id")}
@@ -180,7 +181,7 @@ def keep(df: DataFrame, max_covered: float = MAX_COVERED,
     """The rows that pass, with all their columns; nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             _, kept = verdicts(document_statistics(texts_of(batch)), max_covered, max_longest)
             yield batch.filter(pa.array(kept, pa.bool_()))
 
