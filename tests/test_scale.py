@@ -140,6 +140,18 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert sorted(map(tuple, table.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_writers_at_the_same_time_put_the_setting_back(spark):
+    """The second begins while the first writes, and ends after it."""
+    first, second = session.shuffles_removed(spark), session.shuffles_removed(spark)
+    before = spark.conf.get(session.CLEAN_UP, None)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(session.CLEAN_UP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(session.CLEAN_UP, None) == before
+
+
 def test_outside_models_see_a_few_rows_at_a_time(spark):
     """Each call has a frame of its own; a whole Arrow batch never becomes Python objects."""
     def predictor(rows):
