@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 
@@ -224,6 +225,39 @@ def test_rewriting_touches_affected_shards_only(spark, tmp_path):
         sharding.rewrite(docs.withColumnRenamed("old", "slot"), assigned, old, new)
 
 
+def test_moving_takes_whole_rows_to_their_shards(spark, tmp_path):
+    """Every row lies where it is said to go, with all its columns; the query reads what was moved."""
+    rows = [(k if k % 9 else None, "é" * (k % 40) if k % 11 else None, f"s{min(k % 5, 2)}") for k in range(300)]
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by_source = sharding.F.pmod(sharding.F.xxhash64("source"), sharding.F.lit(8))
+    moved = sharding.move(df, by_source, 8, 3, str(tmp_path / "new"))
+    found = moved.collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in found) == Counter(rows)
+    digests = Counter((r.doc_id, zlib.crc32((r.text or "").encode()), r.old_shard, r.shard, r.slot) for r in found)
+    assert digests == Counter((r.doc_id, r.text_crc32, r.old_shard, r.shard, r.slot)
+                              for r in sharding.reshard(df, by_source, 8, 3).collect())
+    for shard in range(3):
+        lying = spark.read.parquet(str(tmp_path / "new" / f"shard={shard}"))
+        assert Counter((r.doc_id, r.text, r.source) for r in lying.collect()) == Counter(
+            (r.doc_id, r.text, r.source) for r in found if r.shard == shard)
+    with pytest.raises(ValueError):
+        sharding.move(df.withColumn("slot", sharding.F.lit(1)), by_source, 8, 3, str(tmp_path / "other"))
+
+
+def test_the_query_on_shards_reads_them_where_they_were_moved_to(spark, sf_dir):
+    from urllib.parse import urlparse
+
+    from gitsift.llm.queries import QUERIES
+
+    found = QUERIES["op10_min_cost_resharding"](spark, sf_dir)
+    folders = {Path(urlparse(f).path).parent for f in found.inputFiles()}
+    assert {f.name for f in folders} == {f"shard={k}" for k in range(8)}
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    moved = spark.read.parquet(*{str(f.parent) for f in folders}).select("doc_id", "text", "source")
+    assert Counter(map(tuple, moved.collect())) == Counter(map(tuple, texts.collect()))
+
+
 # --- the pipeline -----------------------------------------------------------
 def test_pipeline_equals_its_brute_force_version(spark, sf_dir, monkeypatch):
     from test_duplicates import brute_lines, classes_of
