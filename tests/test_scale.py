@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gitsift import fixed_values as fv
 from gitsift import session
 from gitsift.functions import ngrams, term_counts
 from gitsift.operators import classifier, scoring, tfidf
@@ -152,6 +153,34 @@ def test_writers_at_the_same_time_put_the_setting_back(spark):
     assert spark.conf.get(session.CLEAN_UP, None) == before
 
 
+def test_the_training_table_goes_and_has_few_parts(spark, monkeypatch):
+    """Its files are split for the cores there are, however many they are, and removed with the fit."""
+    rows = [(k, fv.TARGET_CLASSES[k % 5], f"{fv.TARGET_CLASSES[k % 5]} word{k % 9} more", f"+line {k % 11}", 1, k % 4, k % 3) for k in range(100)]
+    train = spark.createDataFrame(rows, "commit_id long, label string, message_clean string, diff_text string, "
+                                        "files_changed int, lines_added int, lines_removed int")
+    seen, write = [], classifier.write_features
+
+    def kept(features, path=None):
+        stored = write(features.repartition(40), path)
+        held = sorted(map(str, stored.collect())) == sorted(map(str, spark.read.schema(stored.schema).parquet(path).collect()))
+        seen.append((path, stored.rdd.getNumPartitions(), held, bool(session.file_sizes(spark, path))))
+        return stored
+
+    monkeypatch.setattr(classifier, "write_features", kept)
+    monkeypatch.setattr(classifier, "LEAST_PARTS", 3)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for c in before:
+        spark.conf.set(c, "1000")
+    try:
+        model = classifier.TextClassifier.fit(train, max_terms=50, max_iterations=3)
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    (path, parts, held, there), = seen
+    assert parts == 2 * spark.sparkContext.defaultParallelism and held and there
+    assert not session.file_sizes(spark, path) and model.terms.count()
+
+
 def test_outside_models_see_a_few_rows_at_a_time(spark):
     """Each call has a frame of its own; a whole Arrow batch never becomes Python objects."""
     def predictor(rows):
